@@ -17,13 +17,10 @@ from jobsift.functions.arrays import let
 from jobsift.limits import MAX_BROADCAST_ROWS
 
 JOB_SCHEMA = (
-    "array<struct<`@type`:string,title:string,description:string,datePosted:string,"
-    "employmentType:string,hiringOrganization:string,jobLocation:string>>"
-)
-PLACE_SCHEMA = (
-    "array<struct<address:struct<addressLocality:string,addressRegion:string,"
-    "addressCountry:string>>>"
+    "struct<`@type`:string,title:string,description:string,datePosted:string,"
+    "employmentType:string,hiringOrganization:string,jobLocation:string>"
 )
+ADDRESS_SCHEMA = "struct<addressLocality:string,addressRegion:string,addressCountry:string>"
 STRICT_JSON = {"allowSingleQuotes": "false"}
 CATEGORIES_PER_CHUNK = 1024
 
@@ -139,6 +136,23 @@ def frontier(
     return first_seen_urls(found, max_jobs)
 
 
+def _json_value(text: Column) -> Column:
+    """JSON text of one complete value; null when anything is wrong or left over.
+
+    The parser stops after the first value, so the text is read as a member of
+    an object, which must end right after it.
+    """
+    member = F.concat(F.lit('{"v":'), text, F.lit("}"))
+    return F.from_json(member, "struct<v:string>", STRICT_JSON)["v"]
+
+
+def _listed(value: Column) -> Column:
+    """A JSON list as its elements, anything else as a list of one."""
+    return F.when(value.startswith("["), F.from_json(value, "array<string>")).otherwise(
+        F.array(value)
+    )
+
+
 def job_posting(html: Column) -> Column:
     """First schema.org JobPosting of a page, or null.
 
@@ -146,32 +160,28 @@ def job_posting(html: Column) -> Column:
     again with white space collapsed and then skipped.
     """
 
-    def parse(block: Column) -> Column:
+    def candidates(block: Column) -> Column:
         collapsed = F.regexp_replace(block, r"(?U)\s+", " ")
-        return F.coalesce(
-            F.from_json(block, JOB_SCHEMA, STRICT_JSON),
-            F.from_json(collapsed, JOB_SCHEMA, STRICT_JSON),
-        )
+        value = F.coalesce(_json_value(block), _json_value(collapsed))
+        return F.transform(_listed(value), lambda o: F.from_json(o, JOB_SCHEMA, STRICT_JSON))
 
-    blocks = F.transform(ld_json_blocks(html), parse)
-    parsed = F.flatten(F.filter(blocks, lambda b: b.isNotNull()))
+    parsed = F.flatten(F.transform(ld_json_blocks(html), candidates))
     return F.get(F.filter(parsed, lambda o: o["@type"] == "JobPosting"), F.lit(0))
 
 
 def location_text(location: Column) -> Column:
     """Places of a jobLocation (JSON text): locality, region and country each."""
 
-    def place(p: Column) -> Column:
-        address = p["address"]
+    def place(item: Column) -> Column:
+        address_text = F.from_json(item, "struct<address:string>", STRICT_JSON)["address"]
+        address = F.from_json(address_text, ADDRESS_SCHEMA, STRICT_JSON)
         parts = F.array(
             address["addressLocality"], address["addressRegion"], address["addressCountry"]
         )
         return F.array_join(F.filter(parts, lambda x: F.coalesce(x, F.lit("")) != ""), ", ")
 
-    places = F.from_json(location, PLACE_SCHEMA, STRICT_JSON)
-    named = let(
-        F.transform(places, place), lambda all_: F.filter(all_, lambda x: x != "")
-    )
+    places = F.transform(_listed(location), place)
+    named = let(places, lambda found: F.filter(found, lambda x: x != ""))
     return F.coalesce(F.array_join(named, ", "), F.lit(""))
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 
@@ -54,3 +56,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.parquet(path)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers of every executor."""
+    context = spark.sparkContext
+    if getattr(context, "_jobsift_shipped", False):
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    archive = shutil.make_archive(
+        os.path.join(tempfile.mkdtemp(prefix="jobsift-"), "jobsift"),
+        "zip",
+        root_dir=os.path.dirname(package),
+        base_dir=os.path.basename(package),
+    )
+    context.addPyFile(archive)
+    context._jobsift_shipped = True

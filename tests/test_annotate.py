@@ -54,26 +54,31 @@ def test_gazetteer_paths_agree(spark, sf_dir):
     assert inline == joined and any(r.kind == "ENT" for r in inline)
 
 
-def plain_annotator():
-    def run(texts):
-        for text in texts:
-            tokens, sent, pos = [], 0, 0
-            for word, gap in re.findall(r"(\w+|[^\w\s])(\s*)", text):
-                tokens.append(
-                    dict(sent=sent, pos=pos, text=word, lemma=word.lower(), upos="X",
-                         is_space=False, is_alpha=word.isalpha(), is_stop=False)
-                )
-                pos += 1
-                sent += word in ".!?" and gap != ""
-            yield tokens, []
-
-    return run
+def make_plain_annotator():
+    """A factory that is pickled by value: executors do not have this module."""
+
+    def plain_annotator():
+        def run(texts):
+            for text in texts:
+                tokens, sent, pos = [], 0, 0
+                for word, gap in re.findall(r"(\w+|[^\w\s])(\s*)", text):
+                    tokens.append(
+                        dict(sent=sent, pos=pos, text=word, lemma=word.lower(), upos="X",
+                             is_space=False, is_alpha=word.isalpha(), is_stop=False)
+                    )
+                    pos += 1
+                    sent += word in ".!?" and gap != ""
+                yield tokens, []
+
+        return run
+
+    return plain_annotator
 
 
 def test_plugged_annotator_agrees_with_the_rules(spark, sf_dir):
     docs = views.postings(spark, sf_dir)
     columns = ["doc_id", "sent", "pos", "text", "lemma", "is_alpha"]
-    plugged = annotate.annotate(docs, factory=plain_annotator)
+    plugged = annotate.annotate(docs, factory=make_plain_annotator())
     rules = annotate.annotate(docs)
     a = annotate.token_rows(plugged).select(*columns)
     b = annotate.token_rows(rules).select(*columns)
@@ -86,7 +91,8 @@ def broken():
 
 
 def test_choose_annotator():
-    assert annotate.choose_annotator(broken, plain_annotator) is plain_annotator
+    plain = make_plain_annotator()
+    assert annotate.choose_annotator(broken, plain) is plain
     assert annotate.choose_annotator(broken) is None
     assert annotate.choose_annotator(annotate.spacy_annotator("no_such_model")) is None
 

@@ -83,7 +83,7 @@ def test_split_is_the_hash_order_whatever_the_partitioning(spark):
     many = {r.doc_id for r in model.stratified_split(df.repartition(7)).filter("is_test").collect()}
     ranked = df.withColumn("h", model.split_hash("doc_id", 42)).toPandas()
     expected = set()
-    for name, k in {"a": 80, "b": 8}.items():
+    for name, k in {"a": 81, "b": 7}.items():
         expected |= set(ranked[ranked.label_area == name].sort_values(["h", "doc_id"]).doc_id[:k])
     assert one == many == expected
 

@@ -101,6 +101,12 @@ JOB = '{"@type":"JobPosting","title":"T","description":"a &amp; <b>b</b>"}'
         (script(JOB, "text/javascript"), None),
         (script('{"@type":["JobPosting"],"title":"T"}'), None),
         (script("  "), None),
+        (script(JOB + " x"), None),
+        (script(JOB + JOB), None),
+        (script(JOB[:-1]), None),
+        (script('["text", 5, ' + JOB + "]"), "T"),
+        (script('[{"@type":"JobPosting","title":"A"}, {bad]'), None),
+        (script('{"@type":"JobPosting","title":{"k":1}}'), '{"k":1}'),
         ("<SCRIPT id=x type='application/ld+json' async>" + JOB + "</SCRIPT>", "T"),
         ("<p>none</p>", None),
     ],
