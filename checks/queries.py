@@ -35,7 +35,7 @@ from jobsift.operators import (
     web,
 )
 from jobsift.plans import chain, views
-from jobsift.session import scratch_path, ship_package
+from jobsift.session import scratch_path, ship_package, stored
 from jobsift.sources import sinks, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -151,7 +151,8 @@ def s10_first_rows(spark, sf_dir):
 
 @query
 def w1_absolute_urls(spark, sf_dir):
-    links = pages(spark, sf_dir).select("page_id", F.posexplode(link_targets(F.col("html"))))
+    targets = pages(spark, sf_dir).select("page_id", link_targets(F.col("html")).alias("hrefs"))
+    links = targets.select("page_id", F.posexplode("hrefs"))
     return links.select(
         "page_id", "pos", F.col("col").alias("href"), web.absolute_url(F.col("col"), DOMAIN).alias("url")
     )
@@ -384,7 +385,7 @@ def f2_term_counts(spark, sf_dir):
 
 @query
 def f2_term_frequencies(spark, sf_dir):
-    return tfidf.term_frequencies(tfidf.term_counts(documents(spark, sf_dir), "text"))
+    return tfidf.term_frequencies(documents(spark, sf_dir), "text")
 
 
 @query
@@ -449,7 +450,10 @@ def gazetteer(annotated):
 
 def annotated(spark, sf_dir, entities=False):
     docs = annotate.annotate(documents(spark, sf_dir), "text").select("doc_id", "tokens", "spans")
-    return annotate.add_gazetteer_spans(docs, gazetteer(docs)) if entities else docs
+    if not entities:
+        return docs
+    kept = stored(docs, "annotations")
+    return annotate.add_gazetteer_spans(kept, gazetteer(kept))
 
 
 @query
@@ -553,7 +557,8 @@ def l5_labels_of_clean_text(spark, sf_dir):
 
 
 def split(spark, sf_dir):
-    return model.stratified_split(labeled(spark, sf_dir).select("doc_id", TEXT, "label_area"))
+    rows = labeled(spark, sf_dir).select("doc_id", TEXT, "label_area")
+    return model.stratified_split(stored(rows, "labeled"))
 
 
 @query
@@ -564,14 +569,16 @@ def m1_split(spark, sf_dir):
 @query
 def m2_test_tfidf(spark, sf_dir):
     """Vocabulary of the train rows, matrix of the test rows."""
-    rows = split(spark, sf_dir)
+    rows = stored(split(spark, sf_dir), "split")
     vocab = tfidf.vocabulary(rows.filter("not is_test"), TEXT, FEATURES)
     return tfidf.tfidf(rows.filter("is_test"), vocab, FEATURES, TEXT)
 
 
 @query
 def m3_m4_predictions(spark, sf_dir):
-    _, predicted = model.evaluate(labeled(spark, sf_dir), TEXT, max_features=2000, max_iter=200)
+    _, predicted = model.evaluate(
+        stored(labeled(spark, sf_dir), "labeled"), TEXT, max_features=2000, max_iter=200
+    )
     return predicted
 
 

@@ -46,11 +46,6 @@ def _runs(values: Column, emit: Callable[[Column, Column, Column], Column]) -> C
     return let(F.sort_array(indexed), over_sorted)
 
 
-def counts(values: Column) -> Column:
-    """array<string> -> array<struct<term, tf>>, null for an empty array."""
-    return _runs(values, lambda v, n, _: F.struct(v.alias("term"), n.alias("tf")))
-
-
 def most_common(values: Column, k: int) -> Column:
     """The k most frequent values; ties go to the value that appeared first."""
     ranked = F.sort_array(

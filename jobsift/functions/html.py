@@ -72,7 +72,8 @@ def decoded(values: Column) -> Column:
             )
 
     affected = F.when(F.exists(values, lambda x: F.contains(x, F.lit("&"))), values)
-    return F.coalesce(decode(affected), values)
+    # marked so that a filter derived from a later explode does not run it again
+    return F.coalesce(decode.asNondeterministic()(affected), values)
 
 
 class _VisibleText(HTMLParser):

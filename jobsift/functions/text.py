@@ -68,6 +68,7 @@ def word_tokens(normalized_text: Column, contractions: Mapping[str, str] | None
 def content_tokens(tokens: Column, stop_words: Sequence[str] | None = None) -> Column:
     """Tokens of three characters and more that are not stop words."""
     stops = lexicons.ENGLISH_STOP_WORDS if stop_words is None else list(stop_words)
-    keep = F.filter(tokens, lambda x: F.length(x) > 2)
+    if not stops:
+        return F.filter(tokens, lambda x: F.length(x) > 2)
     # isin over literals is a hash lookup, not a scan of the list
-    return F.filter(keep, lambda x: ~x.isin(stops)) if stops else keep
+    return F.filter(tokens, lambda x: (F.length(x) > 2) & ~x.isin(stops))

@@ -18,6 +18,7 @@ from jobsift import lexicons
 from jobsift.functions.arrays import let, most_common
 from jobsift.functions.text import joined, strip, text_of
 from jobsift.limits import lookup_join, small_rows
+from jobsift.session import stored
 from jobsift.sources.tables import require_columns
 
 log = logging.getLogger(__name__)
@@ -47,12 +48,18 @@ AnnotatorFactory = Callable[[], Annotator]
 
 
 def _word_class(word: Column, lowered: Column, first: Column) -> Column:
-    tag = F.when(word.isin(SYMBOLS), "SYM").when(~word.rlike(r"(?U)\w"), "PUNCT")
-    tag = tag.when(word.rlike(r"^[0-9]+$"), "NUM")
+    # cheap comparisons guard the regular expressions, as this runs once per word
+    single = F.length(word) == 1
+    closed = [w for members in WORD_CLASSES.values() for w in members]
+    classes = F.lit(None).cast("string")
     for name, members in WORD_CLASSES.items():
-        tag = tag.when(lowered.isin(members), name)
+        classes = F.when(lowered.isin(members), name).otherwise(classes)
     return (
-        tag.when(word.rlike(r"^\p{Lu}") & ~first, "PROPN")
+        F.when(single & word.isin(SYMBOLS), "SYM")
+        .when(single & ~word.rlike(r"(?U)\w"), "PUNCT")
+        .when((word < ":") & word.rlike("^[0-9]+$"), "NUM")
+        .when(lowered.isin(closed), classes)
+        .when((word != lowered) & ~first & word.rlike(r"^\p{Lu}"), "PROPN")
         .when(lowered.endswith("ly"), "ADV")
         .when(lowered.endswith("ing") | lowered.endswith("ed"), "VERB")
         .otherwise("NOUN")
@@ -128,18 +135,72 @@ def noun_chunks(tokens: Column) -> Column:
     return F.coalesce(let(tokens, over_tokens), F.array().cast(SPANS_TYPE))
 
 
-def _candidates(tokens: Column, longest: int, keep_first: Callable | None = None) -> Column:
-    """array<struct<pos, text>>: runs of 1 to ``longest`` words of one sentence."""
+def one_label_per_surface(gazetteer: DataFrame) -> DataFrame:
+    return (
+        gazetteer.filter(F.col("surface").isNotNull() & F.col("label").isNotNull())
+        .groupBy("surface")
+        .agg(F.min("label").alias("label"))
+    )
+
+
+def add_gazetteer_spans(df: DataFrame, gazetteer: DataFrame, key: str = "doc_id") -> DataFrame:
+    """Append ENT spans for every gazetteer surface found in the tokens.
+
+    A gazetteer of bounded size travels with the tasks and nothing shuffles.  A
+    larger one is joined to the runs of words, spread over salts.
+    """
+    entries = one_label_per_surface(gazetteer)
+    rows = small_rows(entries)
+    if rows is None:
+        return _joined_entities(df, entries, key)
+    shipped = df.sparkSession.sparkContext.broadcast({r["surface"]: r["label"] for r in rows})
+    found = _shipped_entities(F.col("tokens"), shipped)
+    # the lookup counts array elements, the annotator may number tokens its own way
+    placed = F.transform(
+        found, lambda s: s.withField("pos", F.get(F.col("tokens"), s["pos"])["pos"])
+    )
+    return df.withColumn("spans", F.concat("spans", placed))
+
+
+def _shipped_entities(tokens: Column, shipped) -> Column:
+    span_type = _arrow_spans()
+
+    @F.arrow_udf(SPANS_TYPE)
+    def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        labels = shipped.value
+        longest: dict[str, int] = {}
+        for surface in labels:
+            words = surface.split(" ")
+            longest[words[0]] = max(longest.get(words[0], 0), len(words))
+        for texts, sentences in batches:
+            out = []
+            for words, sents in zip(texts.to_pylist(), sentences.to_pylist()):
+                spans = []
+                for i, word in enumerate(words):
+                    for n in range(1, longest.get(word, 0) + 1):
+                        if i + n > len(words) or sents[i + n - 1] != sents[i]:
+                            break
+                        surface = " ".join(words[i : i + n])
+                        if surface in labels:
+                            spans.append((i, "ENT", surface, labels[surface]))
+                out.append([dict(zip(("pos", "kind", "text", "label"), s)) for s in spans])
+            yield pa.array(out, span_type)
+
+    # marked so that a filter derived from a later explode does not run it again
+    return run.asNondeterministic()(
+        F.transform(tokens, lambda t: t["text"]), F.transform(tokens, lambda t: t["sent"])
+    )
+
+
+def _word_runs(tokens: Column, longest: int) -> Column:
+    """array<struct<pos, surface>>: runs of 1 to ``longest`` words of one sentence."""
 
     def over_tokens(t: Column) -> Column:
         last = F.size(t) - 1
-        starts = F.sequence(F.lit(0), last)
-        if keep_first is not None:
-            starts = F.filter(starts, lambda i: keep_first(F.get(t, i)["text"]))
         sizes = F.sequence(F.lit(1), F.lit(longest))
-        grams = F.flatten(
+        runs = F.flatten(
             F.transform(
-                starts,
+                F.sequence(F.lit(0), last),
                 lambda i: F.transform(
                     F.filter(
                         sizes,
@@ -149,80 +210,31 @@ def _candidates(tokens: Column, longest: int, keep_first: Callable | None = None
                         F.get(t, i)["pos"].alias("pos"),
                         F.array_join(
                             F.transform(F.slice(t, i + 1, n), lambda x: x["text"]), " "
-                        ).alias("text"),
+                        ).alias("surface"),
                     ),
                 ),
             )
         )
-        return F.when(F.size(t) > 0, grams)
+        return F.when(F.size(t) > 0, runs)
 
     return let(tokens, over_tokens)
 
 
-INLINE_GAZETTEER_ROWS = 2_000
-
-
-def one_label_per_surface(gazetteer: DataFrame) -> DataFrame:
-    return (
-        gazetteer.filter(F.col("surface").isNotNull() & F.col("label").isNotNull())
-        .groupBy("surface")
-        .agg(F.min("label").alias("label"))
-    )
-
-
-def add_gazetteer_spans(
-    df: DataFrame, gazetteer: DataFrame, key: str = "doc_id", inline_rows: int = INLINE_GAZETTEER_ROWS
-) -> DataFrame:
-    """Append ENT spans for every gazetteer surface found in the tokens.
+def _joined_entities(df: DataFrame, entries: DataFrame, key: str) -> DataFrame:
+    """Spans by a distributed join, for gazetteers of any size.
 
-    A small gazetteer becomes part of the expression.  A larger one is joined to
-    the word runs: broadcast up to a checked size, salted beyond it.
+    Annotations and gazetteer are both read more than once, so they are written
+    once instead of being computed again.
     """
-    entries = one_label_per_surface(gazetteer)
-    rows = small_rows(entries, inline_rows)
-    if rows is not None:
-        return df.withColumn(
-            "spans",
-            F.concat("spans", _inline_entities(F.col("tokens"), {r[0]: r[1] for r in rows})),
-        )
-    return _joined_entities(df, entries, key)
-
-
-def _inline_entities(tokens: Column, labels: dict[str, str]) -> Column:
-    none = F.array().cast(SPANS_TYPE)
-    if not labels:
-        return none
-    firsts = sorted({surface.split(" ")[0] for surface in labels})
-    longest = max(surface.count(" ") + 1 for surface in labels)
-    surfaces = sorted(labels)
-    table = F.create_map(*[F.lit(x) for s in surfaces for x in (s, labels[s])])
-    grams = _candidates(tokens, longest, lambda word: word.isin(firsts))
-    found = F.transform(
-        F.filter(grams, lambda g: g["text"].isin(surfaces)),
-        lambda g: F.struct(
-            g["pos"].alias("pos"),
-            F.lit("ENT").alias("kind"),
-            g["text"].alias("text"),
-            F.element_at(table, g["text"]).alias("label"),
-        ),
-    )
-    return F.coalesce(found, none)
-
-
-def _joined_entities(df: DataFrame, entries: DataFrame, key: str) -> DataFrame:
-    size = entries.agg(
+    annotated = stored(df, "annotated")
+    table = stored(entries, "gazetteer")
+    size = table.agg(
         F.count(F.lit(1)).alias("n"),
-        F.max(F.size(F.split("surface", " "))).alias("longest"),
+        F.coalesce(F.max(F.size(F.split("surface", " "))), F.lit(1)).alias("longest"),
     ).first()
-    grams = df.select(key, F.inline(_candidates(F.col("tokens"), size["longest"])))
-    found = lookup_join(
-        grams.withColumnRenamed("text", "surface"),
-        entries,
-        "surface",
-        F.struct(key, "pos"),
-        table_rows=size["n"],
-    )
-    entities = found.groupBy(key).agg(
+    runs = annotated.select(key, F.inline(_word_runs(F.col("tokens"), size["longest"])))
+    found = lookup_join(runs, table, "surface", F.struct(key, "pos"), table_rows=size["n"])
+    entities_of = found.groupBy(key).agg(
         F.sort_array(
             F.collect_list(
                 F.struct("pos", F.lit("ENT").alias("kind"), F.col("surface").alias("text"), "label")
@@ -231,7 +243,7 @@ def _joined_entities(df: DataFrame, entries: DataFrame, key: str) -> DataFrame:
     )
     none = F.array().cast(SPANS_TYPE)
     return (
-        df.join(entities, key, "left")
+        annotated.join(entities_of, key, "left")
         .withColumn("spans", F.concat("spans", F.coalesce("_entities", none)))
         .drop("_entities")
     )
@@ -276,6 +288,15 @@ def choose_annotator(*factories: AnnotatorFactory) -> AnnotatorFactory | None:
     return None
 
 
+def _arrow_spans() -> pa.DataType:
+    return pa.list_(
+        pa.struct(
+            [("pos", pa.int32()), ("kind", pa.string()), ("text", pa.string()),
+             ("label", pa.string())]
+        )
+    )
+
+
 def _plugged(text: Column, factory: AnnotatorFactory) -> Column:
     token_type = pa.list_(
         pa.struct(
@@ -284,12 +305,7 @@ def _plugged(text: Column, factory: AnnotatorFactory) -> Column:
              ("is_alpha", pa.bool_()), ("is_stop", pa.bool_())]
         )
     )
-    span_type = pa.list_(
-        pa.struct(
-            [("pos", pa.int32()), ("kind", pa.string()), ("text", pa.string()),
-             ("label", pa.string())]
-        )
-    )
+    span_type = _arrow_spans()
 
     @F.arrow_udf(f"struct<tokens:{TOKENS_TYPE},spans:{SPANS_TYPE}>")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:

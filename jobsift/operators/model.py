@@ -72,7 +72,8 @@ def stratified_split(
     Same rows as ranking each label by hash, without sorting a label in one
     task: a histogram of hash buckets finds the bucket where the quota is
     reached, only that bucket is ranked, and all rows are then compared with the
-    one hash per label at which the test set ends.
+    one hash per label at which the test set ends.  Reads ``df`` three times,
+    so pass a stored table when the labels are expensive.
     """
     hashed = df.withColumn("_hash", split_hash(key, seed))
     bucket = F.conv(F.substring("_hash", 1, BUCKET_HEX_DIGITS), 16, 10).cast("int")
@@ -124,7 +125,7 @@ class TextClassifier:
         )
 
 
-def fit_features(train: DataFrame, text_col: str, max_features: int, key: str) -> PipelineModel:
+def fit_features(train: DataFrame, text_col: str, max_features: int) -> PipelineModel:
     """Vocabulary and IDF of the train texts as a vector pipeline.
 
     The vocabulary has at most ``max_features`` rows, which is also the size of
@@ -132,7 +133,7 @@ def fit_features(train: DataFrame, text_col: str, max_features: int, key: str) -
     """
     if max_features > MAX_BROADCAST_ROWS:
         raise ValueError(f"max_features must be at most {MAX_BROADCAST_ROWS}")
-    rows = vocabulary(train, text_col, max_features, key).orderBy("term_id").collect()
+    rows = vocabulary(train, text_col, max_features).orderBy("term_id").collect()
     counter = CountVectorizerModel.from_vocabulary(
         [r["term"] for r in rows], inputCol="_terms", outputCol="_tf"
     )
@@ -152,13 +153,12 @@ def train_classifier(
     train: DataFrame,
     text_col: str,
     label_col: str = "label_area",
-    key: str = "doc_id",
     max_features: int = lexicons.MODEL_MAX_FEATURES,
     max_iter: int = lexicons.MODEL_MAX_ITER,
     inverse_penalty: float = 1.0,
 ) -> TextClassifier:
     """Fit on the train rows; L2 penalty of a loss summed over rows with weight C."""
-    features = fit_features(train, text_col, max_features, key)
+    features = fit_features(train, text_col, max_features)
     indexer = StringIndexer(
         inputCol=label_col, outputCol="_y", stringOrderType="alphabetAsc"
     ).fit(train)
@@ -195,7 +195,7 @@ def evaluate(
     rows = labeled.select(key, text_col, label_col)
     split = stored(stratified_split(rows, label_col, key, test_size, seed), "split")
     model = train_classifier(
-        split.filter(~F.col("is_test")), text_col, label_col, key, max_features, max_iter
+        split.filter(~F.col("is_test")), text_col, label_col, max_features, max_iter
     )
     test = split.filter("is_test").select(key, text_col, F.col(label_col).alias("y"))
     return model, model.predict(test).select(key, "y", "pred")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from jobsift.functions.arrays import counts, let
+from jobsift.functions.arrays import let
 from jobsift.functions.text import text_of
 from jobsift.limits import lookup_join
 
@@ -27,39 +27,62 @@ def terms_of(text: Column) -> Column:
     return let(words, with_pairs)
 
 
+def term_rows(docs: DataFrame, text_col: str, key: str = "doc_id") -> DataFrame:
+    """(doc_id, term), one row per occurrence."""
+    return docs.select(key, F.explode(terms_of(text_of(text_col))).alias("term"))
+
+
 def term_counts(docs: DataFrame, text_col: str, key: str = "doc_id") -> DataFrame:
-    """(doc_id, term, tf): counted inside the row, so this does not shuffle."""
-    counted = docs.select(key, counts(terms_of(text_of(text_col))).alias("_counts"))
-    return counted.select(key, F.inline("_counts")).select(
-        key, "term", F.col("tf").cast("long").alias("tf")
-    )
+    """(doc_id, term, tf).
+
+    Needs no shuffle when the documents are partitioned by their key, and moves
+    one row per document and term otherwise.
+    """
+    counted = term_rows(docs, text_col, key).groupBy(key, "term")
+    return counted.agg(F.count(F.lit(1)).alias("tf"))
 
 
-def term_frequencies(counted: DataFrame) -> DataFrame:
+def term_frequencies(docs: DataFrame, text_col: str) -> DataFrame:
     """(term, df, cf): documents with the term and occurrences in the corpus.
 
-    Partial sums on the map side keep a term that is in every document cheap.
+    Both counts come from one pass: every occurrence counts for ``cf`` and every
+    distinct term of a document once more for ``df``.  Partial sums on the map
+    side keep a term that is in every document cheap.
     """
-    return counted.groupBy("term").agg(
-        F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf")
+    terms = terms_of(text_of(text_col))
+    marked = docs.select(terms.alias("terms")).select(
+        F.posexplode(F.array(F.col("terms"), F.array_distinct("terms"))).alias("is_df", "terms")
+    )
+    flat = marked.select("is_df", F.explode("terms").alias("term"))
+    return flat.groupBy("term").agg(
+        F.sum("is_df").alias("df"), F.sum(1 - F.col("is_df")).alias("cf")
     )
 
 
-def vocabulary(
-    docs: DataFrame, text_col: str, max_features: int, key: str = "doc_id"
-) -> DataFrame:
-    """The ``max_features`` terms with the highest corpus count.
+def top_terms(docs: DataFrame, text_col: str, max_features: int) -> DataFrame:
+    """(term, cf) of the terms with the highest corpus count, ties by the term."""
+    terms = docs.select(F.explode(terms_of(text_of(text_col))).alias("term"))
+    counted = terms.groupBy("term").agg(F.count(F.lit(1)).alias("cf"))
+    return counted.orderBy(F.desc("cf"), "term").limit(max_features)
+
 
-    (term_id, term, cf, df, idf); ids follow alphabetic order and ties in the
-    count are broken by the term.
+def vocabulary(docs: DataFrame, text_col: str, max_features: int) -> DataFrame:
+    """(term_id, term, cf, df, idf) of the ``max_features`` most frequent terms.
+
+    Ids follow alphabetic order.  Document frequencies are only counted for the
+    terms that are kept, so just one pass shuffles the whole set of terms.
     """
-    frequencies = term_frequencies(term_counts(docs, text_col, key))
-    top = frequencies.orderBy(F.desc("cf"), "term").limit(max_features)
+    top = top_terms(docs, text_col, max_features)
+    per_document = docs.select(
+        F.explode(F.array_distinct(terms_of(text_of(text_col)))).alias("term")
+    )
+    kept = lookup_join(per_document, top, "term", F.monotonically_increasing_id(), table_rows=max_features)
+    frequencies = kept.groupBy("term", "cf").agg(F.count(F.lit(1)).alias("df"))
     n_docs = docs.select(F.count(F.lit(1))).scalar()
     smooth_idf = F.log((n_docs + 1) / (F.col("df") + 1)) + 1
     # at most max_features rows reach this window
     ids = F.row_number().over(W.orderBy("term")) - 1
-    return top.select(ids.alias("term_id"), "term", "cf", "df", smooth_idf.alias("idf"))
+    return frequencies.select(ids.alias("term_id"), "term", "cf", "df", smooth_idf.alias("idf"))
 
 
 def tfidf(
@@ -72,29 +95,29 @@ def tfidf(
     """(doc_id, term_id, term, tf, tfidf) with rows of unit length.
 
     Also the transform of unseen documents: terms outside the vocabulary are
-    dropped.  Terms are filtered by the vocabulary before the only shuffle, and
-    that shuffle moves one row per document since a document's terms are
-    combined in the task that read it.
+    dropped before anything moves.  The one shuffle, by document, serves both
+    the counts and the length of the row.
     """
-    weighted = lookup_join(
-        term_counts(docs, text_col, key),
+    matched = lookup_join(
+        term_rows(docs, text_col, key),
         vocab.select("term", "term_id", "idf"),
         "term",
-        F.col(key),
+        F.monotonically_increasing_id(),
         table_rows=max_features,
-    ).withColumn("w", F.col("tf") * F.col("idf"))
-    rows = weighted.groupBy(key).agg(
-        F.collect_list(F.struct("term_id", "term", "tf", "w")).alias("items"),
-        F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"),
     )
-    return rows.select(key, "norm", F.inline("items")).select(
-        key, "term_id", "term", "tf", (F.col("w") / F.col("norm")).alias("tfidf")
+    weighted = (
+        matched.repartition(key)
+        .groupBy(key, "term_id", "term", "idf")
+        .agg(F.count(F.lit(1)).alias("tf"))
+        .withColumn("w", F.col("tf") * F.col("idf"))
     )
+    length = F.sqrt(F.sum(F.col("w") * F.col("w")).over(W.partitionBy(key)))
+    return weighted.select(key, "term_id", "term", "tf", (F.col("w") / length).alias("tfidf"))
 
 
 def build_tfidf(
     docs: DataFrame, text_col: str, max_features: int, key: str = "doc_id"
 ) -> tuple[DataFrame, DataFrame]:
     """Matrix and vocabulary of a corpus."""
-    vocab = vocabulary(docs, text_col, max_features, key)
+    vocab = vocabulary(docs, text_col, max_features)
     return tfidf(docs, vocab, max_features, text_col, key), vocab

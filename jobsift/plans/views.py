@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from jobsift.sources.tables import spread
+
 POSTINGS_SQL = """
 SELECT doc_id,
  CASE doc_id % 7 WHEN 0 THEN 'Senior Data Engineer' WHEN 1 THEN 'Front-end Developer'
@@ -46,8 +48,11 @@ SELECT page_id, cast(page_id % 4 as int) AS cat_order,
 """
 
 
+KEYS = {"documents": "doc_id", "pages": "page_id", "labels": "doc_id"}
+
+
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{table}.parquet"), KEYS[table])
 
 
 def _derived(spark: SparkSession, sf_dir: str, table: str, sql: str) -> DataFrame:

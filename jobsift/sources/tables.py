@@ -75,6 +75,17 @@ def read_label_order(spark: SparkSession, path: str) -> DataFrame:
     return lines.select(F.posexplode("labels").alias("label_idx", "label"))
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash-partition a table that has fewer input splits than there are cores.
+
+    A large table has many splits and is returned as it is; a small one in a
+    single file would otherwise keep one core busy.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    splits = df.rdd.getNumPartitions()
+    return df if splits >= cores else df.repartition(cores, key)
+
+
 def first_rows(df: DataFrame, n: int | None, key: str = "doc_id") -> DataFrame:
     """The first ``n`` rows by key; no limit when ``n`` is 0 or None."""
     return df.orderBy(key).limit(n) if n else df

@@ -3,6 +3,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from jobsift import limits
 from jobsift.operators import annotate
 from jobsift.plans import views
 
@@ -38,7 +39,7 @@ def test_empty_text(spark, texts):
         assert (r.spacy_top_lemmas, r.adv_top_pos, r.adv_top_noun_chunks, r.spacy_orgs) == ("",) * 4
 
 
-def test_gazetteer_paths_agree(spark, sf_dir):
+def test_gazetteer_paths_agree(spark, sf_dir, monkeypatch):
     docs = views.postings(spark, sf_dir)
     words = (
         docs.select(F.explode(F.split("descricao_texto", r"\s+")).alias("surface"))
@@ -47,11 +48,13 @@ def test_gazetteer_paths_agree(spark, sf_dir):
     ).unionByName(gazetteer(spark))
     annotated = annotate.annotate(docs)
     order = ["doc_id", "pos", "kind", "text"]
-    inline = annotate.span_rows(annotate.add_gazetteer_spans(annotated, words)).orderBy(*order).collect()
-    joined = annotate.span_rows(
-        annotate.add_gazetteer_spans(annotated, words, inline_rows=1)
-    ).orderBy(*order).collect()
-    assert inline == joined and any(r.kind == "ENT" for r in inline)
+    shipped = annotate.span_rows(annotate.add_gazetteer_spans(annotated, words)).orderBy(*order).collect()
+    assert any(r.kind == "ENT" for r in shipped)
+    for limit in (limits.MAX_BROADCAST_ROWS, 10):
+        monkeypatch.setattr(annotate, "small_rows", lambda frame: None)
+        monkeypatch.setattr(limits, "MAX_BROADCAST_ROWS", limit)
+        joined = annotate.span_rows(annotate.add_gazetteer_spans(annotated, words)).orderBy(*order)
+        assert joined.collect() == shipped
 
 
 def make_plain_annotator():

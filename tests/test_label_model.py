@@ -149,7 +149,7 @@ def test_vectors_equal_the_long_table(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", F.col("text").alias("t"))
     vocab = tfidf.vocabulary(docs, "t", 100)
     long = {(r.doc_id, r.term_id): r.tfidf for r in tfidf.tfidf(docs, vocab, 100, "t").collect()}
-    features = model.fit_features(docs, "t", 100, "doc_id")
+    features = model.fit_features(docs, "t", 100)
     vectors = {}
     for row in model.featurize(docs, "t", features).select("doc_id", "features").collect():
         for i, v in zip(row.features.indices, row.features.values):
