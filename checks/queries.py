@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from jobsift import lexicons
+from jobsift.functions.arrays import one_row_per_item
 from jobsift.functions.html import link_targets, text_from_html
 from jobsift.functions.text import (
     content_tokens,
@@ -152,10 +153,8 @@ def s10_first_rows(spark, sf_dir):
 @query
 def w1_absolute_urls(spark, sf_dir):
     targets = pages(spark, sf_dir).select("page_id", link_targets(F.col("html")).alias("hrefs"))
-    links = targets.select("page_id", F.posexplode("hrefs"))
-    return links.select(
-        "page_id", "pos", F.col("col").alias("href"), web.absolute_url(F.col("col"), DOMAIN).alias("url")
-    )
+    links = one_row_per_item(targets, F.col("hrefs"), "href", "page_id", pos="pos")
+    return links.withColumn("url", web.absolute_url(F.col("href"), DOMAIN))
 
 
 def linked_listing(spark, sf_dir):
@@ -164,7 +163,8 @@ def linked_listing(spark, sf_dir):
 
 @query
 def w2_listing_links(spark, sf_dir):
-    return linked_listing(spark, sf_dir).select("page_id", F.posexplode("links").alias("pos", "url"))
+    linked = linked_listing(spark, sf_dir)
+    return one_row_per_item(linked, F.col("links"), "url", "page_id", pos="pos")
 
 
 @query
@@ -175,9 +175,8 @@ def w3_pages_read(spark, sf_dir):
 
 @query
 def w4_first_seen_urls(spark, sf_dir):
-    links = linked_listing(spark, sf_dir).select(
-        "cat_order", "page", F.posexplode("links").alias("pos", "url")
-    )
+    linked = linked_listing(spark, sf_dir)
+    links = one_row_per_item(linked, F.col("links"), "url", "cat_order", "page", pos="pos")
     return web.first_seen_urls(links, MAX_JOBS)
 
 
@@ -262,17 +261,15 @@ def r7_all_matches(spark, sf_dir):
     found = F.regexp_extract_all(
         text_of(TEXT), F.lit(f"(?iU){lexicons.REGIME_PATTERN}"), F.lit(0)
     )
-    matches = views.postings(spark, sf_dir).select("doc_id", F.posexplode(found).alias("pos", "value"))
-    return matches.select("doc_id", "pos", strip(F.col("value")).alias("value"))
+    matches = one_row_per_item(views.postings(spark, sf_dir), found, "value", "doc_id", pos="pos")
+    return matches.withColumn("value", strip(F.col("value")))
 
 
 @query
 def r8_distinct_ignore_case(spark, sf_dir):
     """First spelling of every regime term, in order, one row each."""
-    terms = views.postings(spark, sf_dir).select(
-        "doc_id", F.posexplode(extract.regime(text_of(TEXT))).alias("pos", "value")
-    )
-    return terms
+    regime = extract.regime(text_of(TEXT))
+    return one_row_per_item(views.postings(spark, sf_dir), regime, "value", "doc_id", pos="pos")
 
 
 @query
@@ -329,7 +326,7 @@ def tokenized(spark, sf_dir):
 
 def plural_dictionary(tokens):
     """A noun dictionary taken from the corpus: words whose singular also occurs."""
-    words = tokens.select(F.explode("tokens").alias("word")).distinct()
+    words = one_row_per_item(tokens, F.col("tokens"), "word").distinct()
     plural = words.filter(F.col("word").endswith("s") & (F.length("word") > 3)).select(
         F.col("word").alias("form"), F.expr("substring(word, 1, length(word) - 1)").alias("lemma")
     )
@@ -518,8 +515,8 @@ def scores(boost):
 
 
 def _score_rows(spark, sf_dir, boost):
-    rows = views.postings(spark, sf_dir).select("doc_id", F.inline(scores(boost)))
-    return rows.select("doc_id", "label", "score")
+    rows = one_row_per_item(views.postings(spark, sf_dir), scores(boost), "s", "doc_id")
+    return rows.select("doc_id", "s.label", "s.score")
 
 
 @query

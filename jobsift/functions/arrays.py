@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -70,3 +70,16 @@ def distinct_ignore_case(values: Column) -> Column:
 
     picked = F.when(F.size(values) > 1, let(values, over_values))
     return F.coalesce(picked, values)
+
+
+def one_row_per_item(df: DataFrame, values: Column, name: str, *keep, pos: str | None = None) -> DataFrame:
+    """Explode an array of non-null items, leaving out empty arrays.
+
+    A plain explode makes the optimizer test the array's size in an extra filter
+    below it, which computes a derived array twice.  The outer form does not.
+    """
+    if pos is None:
+        rows = df.select(*keep, F.explode_outer(values).alias(name))
+    else:
+        rows = df.select(*keep, F.posexplode_outer(values).alias(pos, name))
+    return rows.filter(F.col(name).isNotNull())

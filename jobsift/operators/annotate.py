@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jobsift import lexicons
-from jobsift.functions.arrays import let, most_common
+from jobsift.functions.arrays import let, most_common, one_row_per_item
 from jobsift.functions.text import joined, strip, text_of
 from jobsift.limits import lookup_join, small_rows
 from jobsift.session import stored
@@ -232,7 +232,8 @@ def _joined_entities(df: DataFrame, entries: DataFrame, key: str) -> DataFrame:
         F.count(F.lit(1)).alias("n"),
         F.coalesce(F.max(F.size(F.split("surface", " "))), F.lit(1)).alias("longest"),
     ).first()
-    runs = annotated.select(key, F.inline(_word_runs(F.col("tokens"), size["longest"])))
+    all_runs = _word_runs(F.col("tokens"), size["longest"])
+    runs = one_row_per_item(annotated, all_runs, "r", key).select(key, "r.*")
     found = lookup_join(runs, table, "surface", F.struct(key, "pos"), table_rows=size["n"])
     entities_of = found.groupBy(key).agg(
         F.sort_array(
@@ -354,12 +355,12 @@ def annotate(
 
 def token_rows(annotated: DataFrame, key: str = "doc_id") -> DataFrame:
     """Long form, one row per token."""
-    return annotated.select(key, F.inline("tokens"))
+    return one_row_per_item(annotated, F.col("tokens"), "t", key).select(key, "t.*")
 
 
 def span_rows(annotated: DataFrame, key: str = "doc_id") -> DataFrame:
     """Long form, one row per span."""
-    return annotated.select(key, F.inline("spans"))
+    return one_row_per_item(annotated, F.col("spans"), "s", key).select(key, "s.*")
 
 
 # ------------------------------------------------------------- summaries

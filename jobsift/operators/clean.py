@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from jobsift.functions.arrays import one_row_per_item
 from jobsift.functions.stem import map_words, porter
 from jobsift.functions.text import content_tokens, normalized, text_of, word_tokens
 from jobsift.limits import lookup_join, small_rows
@@ -68,7 +69,7 @@ def lemmatize_by_join(
     df: DataFrame, tokens_col: str, out_col: str, dictionary: DataFrame, key: str = "doc_id"
 ) -> DataFrame:
     """Dictionary forms by a distributed join, for dictionaries of any size."""
-    words = df.select(key, F.posexplode(tokens_col).alias("pos", "form"))
+    words = one_row_per_item(df, F.col(tokens_col), "form", key, pos="pos")
     found = lookup_join(words, dictionary, "form", F.struct(key, "pos"), "left")
     regrouped = found.groupBy(key).agg(
         F.transform(

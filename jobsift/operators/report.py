@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jobsift import lexicons
+from jobsift.functions.arrays import one_row_per_item
 from jobsift.functions.text import text_of, words_present
 from jobsift.operators import metrics
 
@@ -30,7 +31,7 @@ def skill_counts(
     The map side reduces to at most one row per skill and task.
     """
     present = words_present(F.lower(text_of(text_col)), skills)
-    mentions = df.select(key, F.explode(present).alias("skill"))
+    mentions = one_row_per_item(df, present, "skill", key)
     rank = F.array_position(F.array(*[F.lit(s) for s in skills]), F.col("skill"))
     counted = mentions.groupBy("skill").agg(
         F.count(F.lit(1)).alias("n"), F.min(key).alias("first_doc")

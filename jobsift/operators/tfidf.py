@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from jobsift.functions.arrays import let
+from jobsift.functions.arrays import let, one_row_per_item
 from jobsift.functions.text import text_of
 from jobsift.limits import lookup_join
 
@@ -29,7 +29,7 @@ def terms_of(text: Column) -> Column:
 
 def term_rows(docs: DataFrame, text_col: str, key: str = "doc_id") -> DataFrame:
     """(doc_id, term), one row per occurrence."""
-    return docs.select(key, F.explode(terms_of(text_of(text_col))).alias("term"))
+    return one_row_per_item(docs, terms_of(text_of(text_col)), "term", key)
 
 
 def term_counts(docs: DataFrame, text_col: str, key: str = "doc_id") -> DataFrame:
@@ -50,10 +50,10 @@ def term_frequencies(docs: DataFrame, text_col: str) -> DataFrame:
     side keep a term that is in every document cheap.
     """
     terms = terms_of(text_of(text_col))
-    marked = docs.select(terms.alias("terms")).select(
+    both = docs.select(terms.alias("terms")).select(
         F.posexplode(F.array(F.col("terms"), F.array_distinct("terms"))).alias("is_df", "terms")
     )
-    flat = marked.select("is_df", F.explode("terms").alias("term"))
+    flat = one_row_per_item(both, F.col("terms"), "term", "is_df")
     return flat.groupBy("term").agg(
         F.sum("is_df").alias("df"), F.sum(1 - F.col("is_df")).alias("cf")
     )
@@ -61,7 +61,7 @@ def term_frequencies(docs: DataFrame, text_col: str) -> DataFrame:
 
 def top_terms(docs: DataFrame, text_col: str, max_features: int) -> DataFrame:
     """(term, cf) of the terms with the highest corpus count, ties by the term."""
-    terms = docs.select(F.explode(terms_of(text_of(text_col))).alias("term"))
+    terms = one_row_per_item(docs, terms_of(text_of(text_col)), "term")
     counted = terms.groupBy("term").agg(F.count(F.lit(1)).alias("cf"))
     return counted.orderBy(F.desc("cf"), "term").limit(max_features)
 
@@ -73,10 +73,10 @@ def vocabulary(docs: DataFrame, text_col: str, max_features: int) -> DataFrame:
     terms that are kept, so just one pass shuffles the whole set of terms.
     """
     top = top_terms(docs, text_col, max_features)
-    per_document = docs.select(
-        F.explode(F.array_distinct(terms_of(text_of(text_col)))).alias("term")
-    )
-    kept = lookup_join(per_document, top, "term", F.monotonically_increasing_id(), table_rows=max_features)
+    distinct = F.array_distinct(terms_of(text_of(text_col)))
+    per_document = one_row_per_item(docs, distinct, "term")
+    anywhere = F.monotonically_increasing_id()
+    kept = lookup_join(per_document, top, "term", anywhere, table_rows=max_features)
     frequencies = kept.groupBy("term", "cf").agg(F.count(F.lit(1)).alias("df"))
     n_docs = docs.select(F.count(F.lit(1))).scalar()
     smooth_idf = F.log((n_docs + 1) / (F.col("df") + 1)) + 1

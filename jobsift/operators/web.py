@@ -13,7 +13,7 @@ from jobsift.functions.html import (
     link_targets,
     text_from_html,
 )
-from jobsift.functions.arrays import let
+from jobsift.functions.arrays import let, one_row_per_item
 from jobsift.limits import MAX_BROADCAST_ROWS
 
 JOB_SCHEMA = (
@@ -130,9 +130,8 @@ def frontier(
         "cat_order", "page", F.when(F.col("links").isNotNull(), F.size("links")).alias("n_links")
     )
     read = pages_read(sizes, max_jobs, pages_per_category).select("cat_order", "page")
-    found = linked.join(read, ["cat_order", "page"]).select(
-        "cat_order", "page", F.posexplode("links").alias("pos", "url")
-    )
+    kept = linked.join(read, ["cat_order", "page"])
+    found = one_row_per_item(kept, F.col("links"), "url", "cat_order", "page", pos="pos")
     return first_seen_urls(found, max_jobs)
 
 
