@@ -19,7 +19,7 @@ from pyspark.sql import Window as W
 
 from jobsift import lexicons
 from jobsift.functions.text import text_of
-from jobsift.limits import MAX_BROADCAST_ROWS
+from jobsift.limits import MAX_BROADCAST_ROWS, small_rows
 from jobsift.operators.tfidf import terms_of, vocabulary
 from jobsift.session import stored
 
@@ -82,12 +82,18 @@ def stratified_split(
     sizes = histogram.groupBy(label_col).agg(F.sum("n").alias("n"))
     quotas = test_quotas(sizes, label_col, test_size)
     earlier = W.partitionBy(label_col).orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
-    cut = (
+    cut_rows = small_rows(
         histogram.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
-        .join(F.broadcast(quotas), label_col)
+        .join(quotas, label_col)
         .filter((F.col("before") < F.col("quota")) & (F.col("quota") <= F.col("before") + F.col("n")))
         .select(label_col, "_bucket", (F.col("quota") - F.col("before")).alias("take"))
     )
+    if cut_rows is None:
+        raise ValueError(f"{label_col} has too many distinct values to stratify by")
+    label_type = df.schema[label_col].dataType.simpleString()
+    cut = df.sparkSession.createDataFrame(
+        cut_rows, f"{label_col} {label_type}, _bucket int, take long"
+    )
     in_order = W.partitionBy(label_col).orderBy("_hash", key)
     last_test_row = (
         keys.join(F.broadcast(cut), [label_col, "_bucket"])
@@ -95,7 +101,7 @@ def stratified_split(
         .filter(F.col("_rank") == F.col("take"))
         .select(label_col, F.struct("_hash", key).alias("_last"))
     )
-    # one row per label on the broadcast side
+    # the broadcast side has one row per label, whose number was checked above
     return (
         hashed.join(F.broadcast(last_test_row), label_col, "left")
         .withColumn(
@@ -125,7 +131,9 @@ class TextClassifier:
         )
 
 
-def fit_features(train: DataFrame, text_col: str, max_features: int) -> PipelineModel:
+def fit_features(
+    train: DataFrame, text_col: str, max_features: int, key: str = "doc_id"
+) -> PipelineModel:
     """Vocabulary and IDF of the train texts as a vector pipeline.
 
     The vocabulary has at most ``max_features`` rows, which is also the size of
@@ -133,7 +141,7 @@ def fit_features(train: DataFrame, text_col: str, max_features: int) -> Pipeline
     """
     if max_features > MAX_BROADCAST_ROWS:
         raise ValueError(f"max_features must be at most {MAX_BROADCAST_ROWS}")
-    rows = vocabulary(train, text_col, max_features).orderBy("term_id").collect()
+    rows = vocabulary(train, text_col, max_features, key).orderBy("term_id").collect()
     counter = CountVectorizerModel.from_vocabulary(
         [r["term"] for r in rows], inputCol="_terms", outputCol="_tf"
     )
@@ -153,12 +161,13 @@ def train_classifier(
     train: DataFrame,
     text_col: str,
     label_col: str = "label_area",
+    key: str = "doc_id",
     max_features: int = lexicons.MODEL_MAX_FEATURES,
     max_iter: int = lexicons.MODEL_MAX_ITER,
     inverse_penalty: float = 1.0,
 ) -> TextClassifier:
     """Fit on the train rows; L2 penalty of a loss summed over rows with weight C."""
-    features = fit_features(train, text_col, max_features)
+    features = fit_features(train, text_col, max_features, key)
     indexer = StringIndexer(
         inputCol=label_col, outputCol="_y", stringOrderType="alphabetAsc"
     ).fit(train)
@@ -195,7 +204,7 @@ def evaluate(
     rows = labeled.select(key, text_col, label_col)
     split = stored(stratified_split(rows, label_col, key, test_size, seed), "split")
     model = train_classifier(
-        split.filter(~F.col("is_test")), text_col, label_col, max_features, max_iter
+        split.filter(~F.col("is_test")), text_col, label_col, key, max_features, max_iter
     )
     test = split.filter("is_test").select(key, text_col, F.col(label_col).alias("y"))
     return model, model.predict(test).select(key, "y", "pred")

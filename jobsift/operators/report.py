@@ -80,9 +80,9 @@ def skill_pair_counts(
     combination are listed once however many documents share it.
     """
     present = F.sort_array(words_present(F.lower(text_of(text_col)), skills))
+    # no filter on the size: it would be moved below and look for the skills twice
     combinations = (
         df.select(key, present.alias("skills"))
-        .filter(F.size("skills") > 1)
         .groupBy("skills")
         .agg(F.count(F.lit(1)).alias("n"), F.min(key).alias("first_doc"))
     )
@@ -93,7 +93,9 @@ def skill_pair_counts(
             lambda b: F.struct(a.alias("a"), b.alias("b")),
         ),
     )
-    pairs = combinations.select("n", "first_doc", F.inline(F.flatten(followers)))
+    pairs = one_row_per_item(combinations, F.flatten(followers), "p", "n", "first_doc").select(
+        "n", "first_doc", "p.*"
+    )
     return (
         pairs.groupBy("a", "b")
         .agg(F.sum("n").alias("n"), F.min("first_doc").alias("first_doc"))

@@ -66,7 +66,9 @@ def top_terms(docs: DataFrame, text_col: str, max_features: int) -> DataFrame:
     return counted.orderBy(F.desc("cf"), "term").limit(max_features)
 
 
-def vocabulary(docs: DataFrame, text_col: str, max_features: int) -> DataFrame:
+def vocabulary(
+    docs: DataFrame, text_col: str, max_features: int, key: str = "doc_id"
+) -> DataFrame:
     """(term_id, term, cf, df, idf) of the ``max_features`` most frequent terms.
 
     Ids follow alphabetic order.  Document frequencies are only counted for the
@@ -74,9 +76,8 @@ def vocabulary(docs: DataFrame, text_col: str, max_features: int) -> DataFrame:
     """
     top = top_terms(docs, text_col, max_features)
     distinct = F.array_distinct(terms_of(text_of(text_col)))
-    per_document = one_row_per_item(docs, distinct, "term")
-    anywhere = F.monotonically_increasing_id()
-    kept = lookup_join(per_document, top, "term", anywhere, table_rows=max_features)
+    per_document = one_row_per_item(docs, distinct, "term", key)
+    kept = lookup_join(per_document, top, "term", F.col(key), table_rows=max_features)
     frequencies = kept.groupBy("term", "cf").agg(F.count(F.lit(1)).alias("df"))
     n_docs = docs.select(F.count(F.lit(1))).scalar()
     smooth_idf = F.log((n_docs + 1) / (F.col("df") + 1)) + 1
@@ -102,7 +103,7 @@ def tfidf(
         term_rows(docs, text_col, key),
         vocab.select("term", "term_id", "idf"),
         "term",
-        F.monotonically_increasing_id(),
+        F.col(key),
         table_rows=max_features,
     )
     weighted = (
@@ -119,5 +120,5 @@ def build_tfidf(
     docs: DataFrame, text_col: str, max_features: int, key: str = "doc_id"
 ) -> tuple[DataFrame, DataFrame]:
     """Matrix and vocabulary of a corpus."""
-    vocab = vocabulary(docs, text_col, max_features)
+    vocab = vocabulary(docs, text_col, max_features, key)
     return tfidf(docs, vocab, max_features, text_col, key), vocab

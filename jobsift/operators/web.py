@@ -15,6 +15,7 @@ from jobsift.functions.html import (
 )
 from jobsift.functions.arrays import let, one_row_per_item
 from jobsift.limits import MAX_BROADCAST_ROWS
+from jobsift.session import stored
 
 JOB_SCHEMA = (
     "struct<`@type`:string,title:string,description:string,datePosted:string,"
@@ -125,7 +126,10 @@ def frontier(
     prefix: str = lexicons.LINK_PREFIX,
 ) -> DataFrame:
     """Posting URLs to visit: links, stop rules, first-seen distinct, cap."""
-    linked = listing_links(listing, domain, prefix).select("cat_order", "page", "links")
+    in_range = listing.filter(F.col("page").between(1, pages_per_category))
+    parsed = listing_links(in_range, domain, prefix).select("cat_order", "page", "links")
+    # the stop rules look at the sizes several times, so pages are parsed once
+    linked = stored(parsed, "listing-links")
     sizes = linked.select(
         "cat_order", "page", F.when(F.col("links").isNotNull(), F.size("links")).alias("n_links")
     )
