@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from jobsift import lexicons
 from jobsift.operators import annotate, clean, extract, label, metrics, model, report, tfidf
-from jobsift.session import scratch_path, stored
+from jobsift.session import scratch_path, ship_package, stored
 from jobsift.sources import sinks, tables
 
 
@@ -47,6 +47,7 @@ def run(spark: SparkSession, postings: DataFrame, cfg: Config | None = None) ->
     table, so the text is not parsed again for each report.
     """
     cfg = cfg or Config()
+    ship_package(spark)
     out_dir = cfg.out_dir or scratch_path(spark, "run")
     tables.require_columns(postings, cfg.text_col)
     sinks.write_parquet(enrich(postings, cfg), f"{out_dir}/enriched")
