@@ -7,6 +7,7 @@ unnested rows), not from the Spark expressions.
 from __future__ import annotations
 
 from jobsift import lexicons
+from jobsift.functions.stem import IRREGULAR, STEP2, STEP3, STEP4
 from jobsift.operators.annotate import SYMBOLS, WORD_CLASSES
 from jobsift.plans.views import JOB_PAGES_SQL, LISTING_SQL, POSTINGS_SQL
 
@@ -308,6 +309,90 @@ ORACLES["t9_rejoined_lemmas"] = with_(
     TOKENS, LEMMAS, select=rejoined("lemmatized", column="word", name="text_clean")
 )
 
+# stems: the same published rules as successive updates of a vocabulary table,
+# where s is the word written as V (vowel) and C (consonant)
+
+
+def cut(k: int, column: str = "w") -> str:
+    return f"left({column}, (length({column}) - {k})::INT)"
+
+
+def measure(k: int) -> str:
+    """Vowel-consonant groups of the word without its last k letters."""
+    return f"(length({cut(k, 's')}) - length(replace({cut(k, 's')}, 'VC', ''))) // 2"
+
+
+def short(k: int) -> str:
+    return (
+        f"({cut(k, 's')} = 'VC' OR (ends_with({cut(k, 's')}, 'CVC')"
+        f" AND right({cut(k)}, 1) NOT IN ('w', 'x', 'y')))"
+    )
+
+
+def stem_step(name: str, previous: str, expression: str) -> str:
+    shape = "regexp_replace(regexp_replace(w, '[aeiou]', 'V', 'g'), '[^Vy]', 'C', 'g')"
+    shape = f"regexp_replace({shape}, '^y', 'C')"
+    for _ in range(4):
+        shape = f"replace(replace({shape}, 'Cy', 'CV'), 'Vy', 'VC')"
+    return f"""{name} AS (SELECT token, w, {shape} AS s, before FROM (
+ SELECT token, {expression} AS w, w AS before FROM {previous}))"""
+
+
+def suffix_cases(table: dict[str, str], more_than: int) -> str:
+    cases = ""
+    for suffix in sorted(table, key=len, reverse=True):
+        k = len(suffix)
+        extra = f" AND right({cut(k)}, 1) IN ('s', 't')" if suffix == "ion" else ""
+        cases += (
+            f" WHEN ends_with(w, '{suffix}') THEN CASE WHEN {measure(k)} > {more_than}{extra}"
+            f" THEN {cut(k)} || '{table[suffix]}' ELSE w END"
+        )
+    return cases
+
+
+def ended(suffix: str) -> str:
+    return f"ends_with(w, '{suffix}')"
+
+
+STEM_STEPS = [
+    stem_step("p0", "(SELECT DISTINCT token, token AS w FROM content)", "w"),
+    stem_step("p1", "p0", f"""CASE WHEN {ended('ies')} THEN CASE WHEN length(w) = 4 THEN {cut(1)} ELSE {cut(2)} END
+  WHEN {ended('sses')} THEN {cut(2)} WHEN {ended('ss')} THEN w WHEN {ended('s')} THEN {cut(1)} ELSE w END"""),
+    stem_step("p2", "p1", f"""CASE WHEN {ended('ied')} THEN CASE WHEN length(w) = 4 THEN {cut(1)} ELSE {cut(2)} END
+  WHEN {ended('eed')} THEN CASE WHEN {measure(3)} > 0 THEN {cut(1)} ELSE w END
+  WHEN {ended('ed')} AND contains({cut(2, 's')}, 'V') THEN {cut(2)}
+  WHEN {ended('ing')} AND contains({cut(3, 's')}, 'V') THEN {cut(3)} ELSE w END"""),
+    stem_step("p3", "p2", f"""CASE WHEN NOT ((ends_with(before, 'ed') AND length(before) - length(w) = 2
+   AND NOT ends_with(before, 'eed') AND NOT ends_with(before, 'ied'))
+   OR (ends_with(before, 'ing') AND length(before) - length(w) = 3)) THEN w
+  WHEN {ended('at')} OR {ended('bl')} OR {ended('iz')} THEN w || 'e'
+  WHEN length(w) > 1 AND right(w, 1) = left(right(w, 2), 1) AND right(s, 1) = 'C'
+   THEN CASE WHEN right(w, 1) IN ('l', 's', 'z') THEN w ELSE {cut(1)} END
+  WHEN {measure(0)} = 1 AND {short(0)} THEN w || 'e' ELSE w END"""),
+    stem_step("p4", "p3", f"""CASE WHEN {ended('y')} AND length(w) > 2 AND right({cut(1, 's')}, 1) = 'C'
+  THEN {cut(1)} || 'i' ELSE w END"""),
+    stem_step("p5", "p4", f"CASE WHEN {ended('alli')} AND {measure(4)} > 0 THEN {cut(2)} ELSE w END"),
+    stem_step("p6", "p5", f"""CASE WHEN {ended('logi')} THEN CASE WHEN {measure(3)} > 0 THEN {cut(1)} ELSE w END
+ {suffix_cases(STEP2, 0)} ELSE w END"""),
+    stem_step("p7", "p6", f"CASE {suffix_cases(STEP3, 0)} ELSE w END"),
+    stem_step("p8", "p7", f"CASE {suffix_cases(dict.fromkeys(STEP4, ''), 1)} ELSE w END"),
+    stem_step("p9", "p8", f"""CASE WHEN {ended('e')} AND ({measure(1)} > 1 OR ({measure(1)} = 1 AND NOT {short(1)}))
+  THEN {cut(1)} ELSE w END"""),
+    stem_step("p10", "p9", f"CASE WHEN {ended('ll')} AND {measure(1)} > 1 THEN {cut(1)} ELSE w END"),
+    "irregular(word, fixed) AS (VALUES "
+    + ", ".join(f"({quoted(a)}, {quoted(b)})" for a, b in IRREGULAR.items())
+    + ")",
+    """stems AS (
+ SELECT c.doc_id, c.pos, coalesce(fixed, w) AS stem FROM content c JOIN p10 USING (token)
+ LEFT JOIN irregular ON word = c.token)""",
+]
+ORACLES["t8_stems"] = with_(
+    TOKENS, *STEM_STEPS, select=rejoined("stems", column="stem", name="stems")
+)
+ORACLES["t9_clean_text"] = with_(
+    TOKENS, *STEM_STEPS, select=rejoined("stems", column="stem", name="text_clean")
+)
+
 # ---------------------------------------------------------------------- TF-IDF
 
 
