@@ -22,7 +22,6 @@ from jobsift.functions.text import (
     strip,
     text_of,
     word_tokens,
-    words_present,
 )
 from jobsift.operators import (
     annotate,

@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from jobsift.functions.arrays import let, one_row_per_item
 from jobsift.functions.text import text_of
 from jobsift.limits import lookup_join
+from jobsift.session import stored
 
 WORD_PATTERN = r"(?U)\b\w\w+\b"
 
@@ -119,6 +120,9 @@ def tfidf(
 def build_tfidf(
     docs: DataFrame, text_col: str, max_features: int, key: str = "doc_id"
 ) -> tuple[DataFrame, DataFrame]:
-    """Matrix and vocabulary of a corpus."""
-    vocab = vocabulary(docs, text_col, max_features, key)
+    """Matrix and vocabulary of a corpus.
+
+    The vocabulary is written once, as the matrix and its reader both need it.
+    """
+    vocab = stored(vocabulary(docs, text_col, max_features, key), "vocabulary")
     return tfidf(docs, vocab, max_features, text_col, key), vocab

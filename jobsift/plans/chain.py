@@ -53,8 +53,7 @@ def run(spark: SparkSession, postings: DataFrame, cfg: Config | None = None) ->
     sinks.write_parquet(enrich(postings, cfg), f"{out_dir}/enriched")
     enriched = spark.read.parquet(f"{out_dir}/enriched")
 
-    vocab = stored(tfidf.vocabulary(enriched, "text_clean", cfg.max_features), "vocabulary")
-    matrix = tfidf.tfidf(enriched, vocab, cfg.max_features, "text_clean")
+    matrix, vocab = tfidf.build_tfidf(enriched, "text_clean", cfg.max_features)
     sinks.write_tfidf(matrix, vocab, out_dir)
 
     rows = tables.first_rows(enriched, cfg.max_rows)

@@ -137,7 +137,8 @@ def test_model_learns_separable_labels(spark):
 
 
 def test_one_label_is_predicted_always(spark):
-    df = spark.createDataFrame([(i, "a b text", "Outro") for i in range(10)], "doc_id long, t string, label_area string")
+    rows = [(i, "a b text", "Outro") for i in range(10)]
+    df = spark.createDataFrame(rows, "doc_id long, t string, label_area string")
     _, predicted = model.evaluate(df, "t", max_features=5)
     assert {(r.y, r.pred) for r in predicted.collect()} == {("Outro", "Outro")}
     assert predicted.count() == 2
