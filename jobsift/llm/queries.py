@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobsift.llm import chat, quality
+from jobsift.llm import chat, quality, secrets, warc
 from jobsift.session import ship_package, stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -86,3 +86,47 @@ FROM sized GROUP BY conv_id
 @query
 def op9_quality_rules(spark, sf_dir):
     return quality.quality(table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_secret_scan(spark, sf_dir):
+    found = secrets.scan_secrets(table(spark, sf_dir, "documents"))
+
+    def number(rank):
+        return F.size(F.filter("base", lambda s: s["rank"] == rank)).cast("long")
+
+    return found.select(
+        "doc_id",
+        number(0).alias("n_assign"),
+        number(1).alias("n_access"),
+        number(2).alias("n_hex"),
+        F.sha2(secrets.spans_text("base"), 256).alias("base_sha256"),
+        secrets.spans_text("spans").alias("spans"),
+    )
+
+
+@query
+def op5_warc_salvage(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages").select(F.col("page_id").alias("key"), "url", "html")
+    read = warc.round_trip(spark, pages).where("gap is null")
+    return read.select(
+        F.expr("try_cast(record_id AS bigint)").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        F.expr("try_cast(refers_to AS bigint)").alias("refers_to"),
+    )
+
+
+ORACLES["op5_warc_salvage"] = """
+WITH hashed AS (
+  SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes,
+    sha1(coalesce(html, '')) AS payload_digest FROM pages
+), last AS (
+  SELECT payload_digest, max(page_id) AS last FROM hashed WHERE payload_bytes >= 1000 GROUP BY 1
+)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN page_id < last THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id < last THEN last END AS refers_to
+FROM hashed LEFT JOIN last USING (payload_digest)
+"""
