@@ -27,7 +27,7 @@ def create(uri: str):
     """An output stream; folders are made as needed."""
     store, path = opened(uri)
     store.create_dir(path.rpartition("/")[0], recursive=True)
-    return store.open_output_stream(path)
+    return store.open_output_stream(path, compression=None)
 
 
 def read(uri: str):
