@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobsift.llm import chat, quality, secrets, warc
+from jobsift.llm import chat, mixing, quality, secrets, tokens, warc
 from jobsift.session import ship_package, stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -130,3 +130,50 @@ SELECT page_id, payload_bytes, payload_digest,
   CASE WHEN page_id < last THEN last END AS refers_to
 FROM hashed LEFT JOIN last USING (payload_digest)
 """
+
+
+@query
+def op4_token_ids(spark, sf_dir):
+    return tokens.token_digests(spark, table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_source_mix(spark, sf_dir):
+    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    taken = F.size("finishes") * F.col("size")
+    return mixed.select("doc_id", "size", "source_size", "target", taken.cast("long").alias("taken"))
+
+
+ORACLES["op8_source_mix"] = r"""
+WITH rows AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+    md5(concat('1:', coalesce(CAST(doc_id AS VARCHAR), ''), ':', coalesce(text, ''))) AS draw
+  FROM documents
+), sources AS (
+  SELECT *, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS rank
+  FROM (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM rows GROUP BY source)
+), weighed AS (
+  SELECT *, CAST([5.0, 2.0, 1.0][rank % 3 + 1] AS DOUBLE) AS weight, source_size * 3 AS most FROM sources
+), levelled AS (
+  SELECT *, row_number() OVER stops AS place,
+    (CAST(sum(source_size) OVER () AS DOUBLE) - coalesce(CAST(sum(most) OVER (stops ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS DOUBLE), 0))
+    / sum(weight) OVER (stops ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+  FROM weighed WINDOW stops AS (ORDER BY most / weight, rank)
+), named AS (
+  SELECT source, source_size, rank,
+    least(coalesce(weight * (SELECT min_by(level, place) FROM levelled WHERE most > weight * level), 0), CAST(most AS DOUBLE)) AS target
+  FROM levelled
+), summed AS (
+  SELECT doc_id, size, draw, n.source_size, n.rank, n.target,
+    CAST(sum(size) OVER (PARTITION BY r.source ORDER BY draw, size RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS upto
+  FROM rows r JOIN named n ON r.source IS NOT DISTINCT FROM n.source
+), copies AS (
+  SELECT *, CASE WHEN target = 0 THEN 0 ELSE (turn * source_size + upto) / target END AS finish
+  FROM summed, (SELECT unnest([0, 1, 2]) AS turn)
+), queued AS (
+  SELECT *, sum(size) OVER (ORDER BY finish, rank, turn, draw, size RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS spent FROM copies
+)
+SELECT doc_id, size, source_size, target,
+  CAST(sum(CASE WHEN spent <= (SELECT sum(size) FROM rows) THEN size ELSE 0 END) AS BIGINT) AS taken
+FROM queued GROUP BY doc_id, size, draw, source_size, target
+"""
