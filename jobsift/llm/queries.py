@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobsift.llm import chat, mixing, quality, secrets, tokens, warc
+from jobsift.llm import chat, decontaminate, mixing, quality, secrets, tokens, warc
 from jobsift.session import ship_package, stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -177,3 +177,11 @@ SELECT doc_id, size, source_size, target,
   CAST(sum(CASE WHEN spent <= (SELECT sum(size) FROM rows) THEN size ELSE 0 END) AS BIGINT) AS taken
 FROM queued GROUP BY doc_id, size, draw, source_size, target
 """
+
+
+@query
+def op3_benchmark_decontamination(spark, sf_dir):
+    found = decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", F.col("item").alias("item_id"), "n_matched", "n_windows", "n_alignments"
+    )
