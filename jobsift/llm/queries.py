@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobsift.llm import chat, decontaminate, mixing, quality, secrets, tokens, warc
+from jobsift.llm import chat, decontaminate, jaccard, mixing, quality, secrets, tokens, warc
 from jobsift.session import ship_package, stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -185,3 +185,9 @@ def op3_benchmark_decontamination(spark, sf_dir):
     return found.select(
         "doc_id", F.col("item").alias("item_id"), "n_matched", "n_windows", "n_alignments"
     )
+
+
+@query
+def op6_ngram_jaccard(spark, sf_dir):
+    found = jaccard.similar_groups(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id")
