@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobsift.llm import chat, decontaminate, fmindex, jaccard, mixing, quality, secrets, tokens, warc
+from jobsift.llm import chat, decontaminate, fmindex, jaccard, mixing, quality, secrets, suffixes, tokens, warc
 from jobsift.session import ship_package, stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -197,3 +197,11 @@ def op6_ngram_jaccard(spark, sf_dir):
 def op10_fm_index(spark, sf_dir):
     found = fmindex.remove_repeats(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op7_suffix_levels(spark, sf_dir):
+    found = suffixes.remove_substrings(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+    )
