@@ -26,6 +26,8 @@ from jobsift.llm._words import RangeHash, Texts, slices
 SPOT = np.dtype([("pos", "<u4"), ("lo", "u1"), ("hi", "u1")])
 #: Texts are packed in groups of this many bytes.
 GROUP_BYTES = 24 << 20
+#: Owned regions are packed in groups of this many bytes.
+REGION_BYTES = 8 << 20
 #: Packed entries per shard that a task holds.
 SHARD_ENTRIES = 1 << 20
 
@@ -264,7 +266,7 @@ def contexts(
                 }
                 held.append(one)
                 held_bytes += len(one["bytes"])
-                if held_bytes >= GROUP_BYTES:
+                if held_bytes >= REGION_BYTES:
                     yield _context_rows(held, shards, size, keep_least)
                     held, held_bytes = [], 0
         if held:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from jobsift.session import stored
+from jobsift.llm._store import stored
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -25,13 +25,23 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return moved.where("u <> v").distinct()
 
 
+def thinned(edges: DataFrame) -> DataFrame:
+    """Fewer edges with the same components, for many sources (u) on few targets (v).
+
+    A source keeps its least target, and its other targets are tied to that one.
+    """
+    least = edges.groupBy("u").agg(F.min("v").alias("m"))
+    tied = edges.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    return tied.union(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, label) for every node of the edges (u, v); the label is the least node reachable.
 
     Needs rounds in the logarithm of the longest path; every round is written,
     and one checksum row of it comes to the driver.
     """
-    edges, before = stored(edges.where("u <> v").distinct(), "edges"), None
+    edges, before = stored(thinned(edges), "edges"), None
     while True:
         edges = stored(_star(_star(edges, True), False), "edges")
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()

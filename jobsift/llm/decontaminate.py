@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from jobsift.llm._words import RangeHash, Texts, buffer_of, mixed, slices, totals
-from jobsift.session import stored
+from jobsift.llm._store import stored
 
 WINDOW = 8
 MIN_LITERALS = 4

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from jobsift.llm import _anchors
 from jobsift.llm._words import Texts, slices, words_of
-from jobsift.session import stored
+from jobsift.llm._store import stored
 
 WINDOW = 35
 GRAM = 12

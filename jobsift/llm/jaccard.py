@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from jobsift.llm._graph import components
 from jobsift.llm._words import RangeHash, Texts, slices, words_of
-from jobsift.session import stored
+from jobsift.llm._store import stored
 
 SHINGLE = 5
 PERCENT = 80
@@ -91,23 +91,27 @@ def shingle_counts(docs: DataFrame, text: str, width: int) -> np.ndarray:
     return np.minimum(table, 0xFFFFFFFF).astype(np.uint32)
 
 
-_SCAN = "key {}, mark long, n int, digest binary, prefix_hash long, prefix array<long>"
+_SCAN = "key {}, mark long, n int, digest binary, g long, prefix array<long>"
 
 
 def _signatures(docs: DataFrame, text: str, key: str, width: int, percent: int) -> DataFrame:
-    """Row key, text mark, set size, digest of the set, and the prefix in rare-first order."""
+    """Row key, text mark, set size, digest of the set, group, and the prefix in rare-first order.
+
+    The group is a hash of set size and prefix.
+    """
     counts = docs.sparkSession.sparkContext.broadcast(shingle_counts(docs, text, width))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for texts in slices(batch.column(2)):
-                sizes, digests, hashes, prefixes = [], [], [], []
+                sizes, digests, groups, prefixes = [], [], [], []
                 for s in shingle_sets(texts, width):
                     rare = counts.value[(s & np.uint64(COUNTERS - 1)).astype(np.int64)]
                     prefix = s[np.argsort(rare, kind="stable")[: prefix_size(len(s), percent)]]
                     sizes.append(len(s))
                     digests.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
-                    hashes.append(int.from_bytes(hashlib.blake2b(prefix.tobytes(), digest_size=8).digest(), "little", signed=True))
+                    group = hashlib.blake2b(prefix.tobytes(), digest_size=8, salt=len(s).to_bytes(8, "little"))
+                    groups.append(int.from_bytes(group.digest(), "little", signed=True))
                     prefixes.append(prefix)
                 offsets = np.cumsum([0, *map(len, prefixes)]).astype(np.int32)
                 flat = np.concatenate(prefixes).astype(np.int64) if prefixes else np.zeros(0, np.int64)
@@ -117,10 +121,10 @@ def _signatures(docs: DataFrame, text: str, key: str, width: int, percent: int)
                         batch.column(1)[texts.rows],
                         pa.array(sizes, pa.int32()),
                         pa.array(digests, pa.binary()),
-                        pa.array(hashes, pa.int64()),
+                        pa.array(groups, pa.int64()),
                         pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)),
                     ],
-                    ["key", "mark", "n", "digest", "prefix_hash", "prefix"],
+                    ["key", "mark", "n", "digest", "g", "prefix"],
                 )
 
     kind = docs.schema[key].dataType.simpleString()
@@ -198,38 +202,30 @@ def similar_groups(
 def _links(docs: DataFrame, text: str, key: str, signed: DataFrame, width: int, percent: int) -> DataFrame:
     """Verified links of digests that connect all similar sets."""
     filled = signed.where("n > 0")
-    members = stored(filled.select("n", "prefix_hash", "digest").distinct(), "group-members")
-    leaders = members.groupBy("n", "prefix_hash").agg(F.min("digest").alias("leader"))
-    groups = filled.groupBy("n", "prefix_hash").agg(F.first("prefix").alias("prefix"))
-    listed = stored(
-        groups.select("n", "prefix_hash", F.posexplode("prefix").alias("i", "token")), "postings"
-    )
-    tops = listed.groupBy("token").agg(
-        F.min(F.struct("n", "prefix_hash", "i")).alias("top"), F.count(F.lit(1)).alias("groups")
-    )
-    tops = tops.where("groups > 1").select("token", "top")
-    shared = listed.join(tops, "token")
-    near = shared.where(
-        _fits(F.col("n"), F.col("top.n"), F.col("i"), F.col("top.i"), percent)
-        & ((F.col("n") != F.col("top.n")) | (F.col("prefix_hash") != F.col("top.prefix_hash")))
-    )
-    pairs = near.select(
-        "n", "prefix_hash", F.col("top.n").alias("tn"), F.col("top.prefix_hash").alias("th")
-    ).distinct()
-    led = leaders.toDF("tn", "th", "v")
-    first = pairs.join(members, ["n", "prefix_hash"]).join(led, ["tn", "th"]).select(F.col("digest").alias("u"), "v")
-    inside = members.join(leaders, ["n", "prefix_hash"]).where("digest <> leader")
+    members = stored(filled.select("g", "n", "digest").distinct(), "group-members")
+    leaders = members.groupBy("g", "n").agg(F.min("digest").alias("leader"))
+    groups = stored(filled.groupBy("g").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix")), "groups")
+    listed = groups.select("g", F.explode("prefix").alias("token"))
+    tops = listed.groupBy("token").agg(F.min("g").alias("top"), F.count(F.lit(1)).alias("groups"))
+    tops = stored(tops.where("groups > 1").select("token", "top"), "shared-tokens")
+    pairs = listed.join(tops, "token").where("g <> top").select("g", "top").distinct()
+    led = leaders.toDF("top", "tn", "v")
+    expanded = members.join(pairs, "g").join(led, "top")
+    similar = F.least("n", "tn") * 100 >= F.greatest("n", "tn") * percent
+    first = expanded.where(similar).select(F.col("digest").alias("u"), "v")
+    inside = members.join(leaders, ["g", "n"]).where("digest <> leader")
     tried = stored(first.union(inside.select(F.col("digest").alias("u"), F.col("leader").alias("v"))).distinct(), "leader-pairs")
-    wanted = tried.select(F.col("u").alias("digest")).union(tried.select(F.col("v").alias("digest"))).distinct()
     rows = signed.select("digest", "mark")
-    links = stored(_verified(tried, _sets(docs, text, key, rows, wanted, width), percent), "leader-links")
+    links = stored(_verified(tried, _sets(docs, text, key, rows, _ends(tried), width), percent), "leader-links")
 
     # What the leaders did not connect: tokens whose sets lie in different components.
     labels = components(links)
     known = members.join(labels.withColumnRenamed("node", "digest"), "digest", "left").withColumn(
         "label", F.coalesce("label", "digest")
     )
-    labelled = stored(listed.join(tops.select("token"), "token", "left_semi").join(known, ["n", "prefix_hash"]), "labelled")
+    placed = groups.select("g", F.posexplode("prefix").alias("i", "token"))
+    placed = placed.join(tops.select("token"), "token")
+    labelled = stored(placed.join(known, "g"), "labelled")
     mixed_up = labelled.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high"))
     open_lists = labelled.join(mixed_up.where("low <> high").select("token"), "token", "left_semi")
     a, b = open_lists.alias("a"), open_lists.alias("b")
@@ -242,11 +238,14 @@ def _links(docs: DataFrame, text: str, key: str, signed: DataFrame, width: int,
     rest = other.select(F.col("a.digest").alias("u"), F.col("b.digest").alias("v")).distinct()
     untried = tried.union(tried.select("v", "u"))
     rest = stored(rest.join(untried, ["u", "v"], "left_anti"), "open-pairs")
-    wanted = rest.select(F.col("u").alias("digest")).union(rest.select(F.col("v").alias("digest"))).distinct()
-    more = _verified(rest, _sets(docs, text, key, rows, wanted, width), percent)
+    more = _verified(rest, _sets(docs, text, key, rows, _ends(rest), width), percent)
     return links.union(more)
 
 
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("u").alias("digest")).union(pairs.select(F.col("v").alias("digest"))).distinct()
+
+
 def one_of_each(docs: DataFrame, text: str = "text", key: str = "doc_id", **options) -> DataFrame:
     """One row of every component with all its columns: that with the least key and, among equals, the least text hash.
 

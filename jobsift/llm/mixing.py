@@ -16,7 +16,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from jobsift.session import stored
+from jobsift.llm._store import stored
 
 #: The weights that repeat over the sorted sources.
 WEIGHTS = (5.0, 2.0, 1.0)

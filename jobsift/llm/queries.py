@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobsift.llm import chat, decontaminate, fmindex, jaccard, mixing, quality, secrets, suffixes, tokens, warc
-from jobsift.session import ship_package, stored
+from jobsift.llm._store import stored
+from jobsift.session import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from jobsift.session import stored
+from jobsift.llm._store import stored
 
 #: The patterns of the base kinds and the least length of a match.
 ASSIGN = re.compile(

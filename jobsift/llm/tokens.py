@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from jobsift.llm import _files
+from jobsift.llm._store import shuffles_dropped
 from jobsift.llm._words import WHITE, RangeHash, Texts, slices
 from jobsift.session import scratch_path
 
@@ -281,7 +282,8 @@ def write_ids(
 
     rows = docs.select(docs[key].cast("long").alias("key"), docs[text].cast("string").alias("text"))
     dealt = rows.repartitionByRange("key").sortWithinPartitions("key", "text")
-    dealt.mapInArrow(run, "part long, path string, bytes long, n_ids long").write.parquet(f"{folder}/manifest")
+    with shuffles_dropped(docs.sparkSession):
+        dealt.mapInArrow(run, "part long, path string, bytes long, n_ids long").write.parquet(f"{folder}/manifest")
     return docs.sparkSession.read.parquet(f"{folder}/manifest")
 
 

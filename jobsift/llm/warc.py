@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobsift.llm import _files
+from jobsift.llm._store import shuffles_dropped
 from jobsift.session import scratch_path
 
 #: Payloads below this are stored again each time.
@@ -114,7 +115,8 @@ def write_archives(pages: DataFrame, folder: str) -> DataFrame:
 
     rows = revisits(pages.withColumn("html", F.coalesce(pages["html"].cast("string"), F.lit(""))))
     manifest = rows.select("key", "url", "html", "digest", "refers_to")
-    manifest.mapInArrow(run, "path string, bytes long, records long").write.parquet(f"{folder}/manifest")
+    with shuffles_dropped(pages.sparkSession):
+        manifest.mapInArrow(run, "path string, bytes long, records long").write.parquet(f"{folder}/manifest")
     return pages.sparkSession.read.parquet(f"{folder}/manifest")
 
 
