@@ -25,11 +25,11 @@ from jobsift.llm._words import RangeHash, Texts, slices
 #: An anchor in its text: unit, and how far before it its first and last window start.
 SPOT = np.dtype([("pos", "<u4"), ("lo", "u1"), ("hi", "u1")])
 #: Texts are packed in groups of this many bytes.
-GROUP_BYTES = 24 << 20
+GROUP_BYTES = 8 << 20
 #: Owned regions are packed in groups of this many bytes.
-REGION_BYTES = 8 << 20
+REGION_BYTES = 6 << 20
 #: Packed entries per shard that a task holds.
-SHARD_ENTRIES = 1 << 20
+SHARD_ENTRIES = 1 << 18
 
 Units = Callable[[Texts], tuple[np.ndarray, np.ndarray]]
 

@@ -14,7 +14,7 @@ Whatever these links do not connect is compared pair by pair.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -52,6 +52,15 @@ def shingle_sets(texts: Texts, width: int = SHINGLE) -> list[np.ndarray]:
     return sets
 
 
+def parities(items: np.ndarray) -> list[int]:
+    """Four 64-bit words: bit b tells whether an odd number of shingles has hash b.
+
+    Two sets differ in at least as many shingles as these words differ in bits.
+    """
+    odd = np.bincount((items >> np.uint64(40)).astype(np.int64) & 255, minlength=256) & 1
+    return np.packbits(odd.astype(np.uint8)).view(">i8").tolist()
+
+
 def prefix_size(n: int, percent: int = PERCENT) -> int:
     return n - -(-percent * n // 100) + 1 if n else 0
 
@@ -91,7 +100,7 @@ def shingle_counts(docs: DataFrame, text: str, width: int) -> np.ndarray:
     return np.minimum(table, 0xFFFFFFFF).astype(np.uint32)
 
 
-_SCAN = "key {}, mark long, n int, digest binary, g long, prefix array<long>"
+_SCAN = "key {}, mark long, n int, digest binary, g long, prefix array<long>, bits array<long>"
 
 
 def _signatures(docs: DataFrame, text: str, key: str, width: int, percent: int) -> DataFrame:
@@ -104,7 +113,7 @@ def _signatures(docs: DataFrame, text: str, key: str, width: int, percent: int)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for texts in slices(batch.column(2)):
-                sizes, digests, groups, prefixes = [], [], [], []
+                sizes, digests, groups, prefixes, bits = [], [], [], [], []
                 for s in shingle_sets(texts, width):
                     rare = counts.value[(s & np.uint64(COUNTERS - 1)).astype(np.int64)]
                     prefix = s[np.argsort(rare, kind="stable")[: prefix_size(len(s), percent)]]
@@ -113,6 +122,7 @@ def _signatures(docs: DataFrame, text: str, key: str, width: int, percent: int)
                     group = hashlib.blake2b(prefix.tobytes(), digest_size=8, salt=len(s).to_bytes(8, "little"))
                     groups.append(int.from_bytes(group.digest(), "little", signed=True))
                     prefixes.append(prefix)
+                    bits.append(parities(s))
                 offsets = np.cumsum([0, *map(len, prefixes)]).astype(np.int32)
                 flat = np.concatenate(prefixes).astype(np.int64) if prefixes else np.zeros(0, np.int64)
                 yield pa.RecordBatch.from_arrays(
@@ -123,8 +133,9 @@ def _signatures(docs: DataFrame, text: str, key: str, width: int, percent: int)
                         pa.array(digests, pa.binary()),
                         pa.array(groups, pa.int64()),
                         pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)),
+                        pa.array(bits, pa.list_(pa.int64())),
                     ],
-                    ["key", "mark", "n", "digest", "g", "prefix"],
+                    ["key", "mark", "n", "digest", "g", "prefix", "bits"],
                 )
 
     kind = docs.schema[key].dataType.simpleString()
@@ -166,11 +177,21 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(shared * 100 >= union * percent).select("u", "v")
 
 
-def _fits(n: Column, m: Column, i: Column, j: Column, percent: int) -> Column:
-    """Size and place filter: the shingles from here on can still reach the overlap needed."""
+def _fits(x: Callable[[str], Column], y: Callable[[str], Column], percent: int, placed: bool = True) -> Column:
+    """Exact filters: sizes, places of the shared shingle, and bits that differ.
+
+    From the first shared shingle on, what is left of both sets must reach the
+    overlap needed; and the sets may differ in no more than the rest.
+    """
+    n, m = x("n"), y("n")
     needed = F.ceil((n + m) * percent / F.lit(100.0 + percent) - F.lit(1e-9))
-    sizes = (F.least(n, m) * 100) >= (F.greatest(n, m) * percent)
-    return sizes & (F.least(n - i, m - j) >= needed)
+    fits = (F.least(n, m) * 100) >= (F.greatest(n, m) * percent)
+    if placed:
+        fits &= F.least(n - x("i"), m - y("i")) >= needed
+    differing = F.lit(0)
+    for k in range(4):
+        differing += F.bit_count(F.get(x("bits"), F.lit(k)).bitwiseXOR(F.get(y("bits"), F.lit(k))))
+    return fits & (differing <= n + m - 2 * needed)
 
 
 def similar_groups(
@@ -202,19 +223,20 @@ def similar_groups(
 def _links(docs: DataFrame, text: str, key: str, signed: DataFrame, width: int, percent: int) -> DataFrame:
     """Verified links of digests that connect all similar sets."""
     filled = signed.where("n > 0")
-    members = stored(filled.select("g", "n", "digest").distinct(), "group-members")
-    leaders = members.groupBy("g", "n").agg(F.min("digest").alias("leader"))
+    members = stored(filled.select("g", "n", "digest", "bits").dropDuplicates(["g", "digest"]), "group-members")
+    leaders = members.groupBy("g", "n").agg(F.min(F.struct("digest", "bits")).alias("l")).select("g", "n", "l.*")
     groups = stored(filled.groupBy("g").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix")), "groups")
     listed = groups.select("g", F.explode("prefix").alias("token"))
     tops = listed.groupBy("token").agg(F.min("g").alias("top"), F.count(F.lit(1)).alias("groups"))
     tops = stored(tops.where("groups > 1").select("token", "top"), "shared-tokens")
     pairs = listed.join(tops, "token").where("g <> top").select("g", "top").distinct()
-    led = leaders.toDF("top", "tn", "v")
-    expanded = members.join(pairs, "g").join(led, "top")
-    similar = F.least("n", "tn") * 100 >= F.greatest("n", "tn") * percent
-    first = expanded.where(similar).select(F.col("digest").alias("u"), "v")
-    inside = members.join(leaders, ["g", "n"]).where("digest <> leader")
-    tried = stored(first.union(inside.select(F.col("digest").alias("u"), F.col("leader").alias("v"))).distinct(), "leader-pairs")
+    m, led, paired = members.alias("m"), leaders.alias("l"), pairs.alias("p")
+    side = lambda name: lambda c: F.col(f"{name}.{c}")
+    near = _fits(side("m"), side("l"), percent, placed=False)
+    chosen = [F.col("m.digest").alias("u"), F.col("l.digest").alias("v")]
+    first = m.join(paired, F.col("m.g") == F.col("p.g")).join(led, F.col("p.top") == F.col("l.g")).where(near)
+    inside = m.join(led, F.col("m.g") == F.col("l.g")).where(near & (F.col("m.digest") != F.col("l.digest")))
+    tried = stored(first.select(*chosen).union(inside.select(*chosen)).distinct(), "leader-pairs")
     rows = signed.select("digest", "mark")
     links = stored(_verified(tried, _sets(docs, text, key, rows, _ends(tried), width), percent), "leader-links")
 
@@ -233,7 +255,7 @@ def _links(docs: DataFrame, text: str, key: str, signed: DataFrame, width: int,
         b,
         (F.col("a.token") == F.col("b.token"))
         & (F.col("a.label") < F.col("b.label"))
-        & _fits(F.col("a.n"), F.col("b.n"), F.col("a.i"), F.col("b.i"), percent),
+        & _fits(side("a"), side("b"), percent),
     )
     rest = other.select(F.col("a.digest").alias("u"), F.col("b.digest").alias("v")).distinct()
     untried = tried.union(tried.select("v", "u"))
