@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from jobsift.llm._words import RangeHash, Texts, slices
+from jobsift.llm._words import RangeHash, Texts, mixed, slices
 
 #: An anchor in its text: unit, and how far before it its first and last window start.
 SPOT = np.dtype([("pos", "<u4"), ("lo", "u1"), ("hi", "u1")])
@@ -89,7 +89,8 @@ ENTRY_NAMES = [part.split()[0] for part in ENTRY_SCHEMA.split(", ")]
 
 
 def shard_of(keys: np.ndarray, shards: int) -> np.ndarray:
-    return (keys >> np.uint64(32)).astype(np.int64) * shards >> 32
+    """Shards of keys; mixed once more, since keys are least hashes and so not even."""
+    return (mixed(keys) >> np.uint64(32)).astype(np.int64) * shards >> 32
 
 
 def _packed(shards: int, rows: np.ndarray, keys: np.ndarray, text: np.ndarray, spots: np.ndarray) -> pa.RecordBatch:
@@ -103,7 +104,8 @@ def _packed(shards: int, rows: np.ndarray, keys: np.ndarray, text: np.ndarray, s
     sent, done = order[head], order[twice]
     flags = twice[head].astype(np.uint8)
     place = shard_of(keys[sent], shards)
-    cuts = np.searchsorted(place, np.arange(shards + 1))
+    even = np.argsort(place, kind="stable")
+    sent, flags, cuts = sent[even], flags[even], np.searchsorted(place[even], np.arange(shards + 1))
     where = text[done] % shards
     by_shard = np.argsort(where, kind="stable")
     done, done_cuts = done[by_shard], np.searchsorted(where[by_shard], np.arange(shards + 1))

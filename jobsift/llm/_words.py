@@ -18,7 +18,7 @@ import pyarrow as pa
 WHITE = np.zeros(256, bool)
 WHITE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 _BASE = 0x9E3779B97F4A7C15 | 1
 _BASE_INVERSE = pow(_BASE, -1, 1 << 64)
 _powers: dict[int, np.ndarray] = {}

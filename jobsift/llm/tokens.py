@@ -27,6 +27,8 @@ from jobsift.session import scratch_path
 
 MAGIC = b"jsids001"
 BLOCK_IDS = 1 << 16
+#: Larger slices than elsewhere, since every slice extends the memory of pieces.
+SLICE_BYTES = 1 << 20
 END_ID = 2
 TOKENIZER = "byte_bpe_50k.json"
 #: Different pieces of text a worker remembers before it starts anew.
@@ -268,7 +270,7 @@ def write_ids(
         name = writer = None
         for batch in batches:
             model = encoder(tokenizer if "/" in tokenizer else _tokenizer_path(tokenizer))
-            for texts in slices(batch.column(1)):
+            for texts in slices(batch.column(1), SLICE_BYTES):
                 lengths, ids = model.encode(texts)
                 ids = np.insert(ids, np.cumsum(lengths), end_id)
                 if writer is None:
