@@ -400,7 +400,7 @@ def terms_cte(source: str, column: str, prefix: str = "") -> str:
     """term lists per document, then counts."""
     p = prefix
     return rf"""{p}word_lists AS (
- SELECT doc_id, regexp_extract_all(lower({column}), '[\p{{L}}\p{{N}}\p{{Mn}}_]{{2,}}') AS w FROM {source}),
+ SELECT doc_id, regexp_extract_all(lower({column}), '[\p{{L}}\p{{N}}_]{{2,}}') AS w FROM {source}),
 {p}term_lists AS (
  SELECT doc_id, list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS terms
  FROM {p}word_lists),
@@ -433,16 +433,16 @@ ORACLES["f1_terms"] = with_(
 )
 ORACLES["f2_term_counts"] = with_(DOC_TERMS, select="SELECT doc_id, term, tf FROM counted")
 ORACLES["f2_term_frequencies"] = with_(DOC_TERMS, select="SELECT term, df, cf FROM frequencies")
-VOCAB_500 = vocabulary_cte(500, "documents")
+VOCAB = vocabulary_cte(5000, "documents")
 ORACLES["f3_f4_f6_vocabulary"] = with_(
-    DOC_TERMS, VOCAB_500, select="SELECT term_id, term, cf, df, round(idf, 6) AS idf FROM vocab"
+    DOC_TERMS, VOCAB, select="SELECT term_id, term, cf, df, round(idf, 6) AS idf FROM vocab"
 )
 ORACLES["s6_vocabulary_sink"] = with_(
-    DOC_TERMS, VOCAB_500, select="SELECT term_id, term, round(idf, 6) AS idf FROM vocab"
+    DOC_TERMS, VOCAB, select="SELECT term_id, term, round(idf, 6) AS idf FROM vocab"
 )
-ORACLES["f5_tfidf"] = with_(DOC_TERMS, VOCAB_500, matrix_cte(), select=MATRIX_SELECT)
+ORACLES["f5_tfidf"] = with_(DOC_TERMS, VOCAB, matrix_cte(), select=MATRIX_SELECT)
 ORACLES["s5_tfidf_sink"] = with_(
-    DOC_TERMS, VOCAB_500, matrix_cte(),
+    DOC_TERMS, VOCAB, matrix_cte(),
     select="SELECT doc_id, term_id, round(tfidf, 6) AS tfidf FROM matrix",
 )
 ORACLES["f8_matrix"] = with_(
@@ -453,7 +453,7 @@ ORACLES["f7_transform"] = with_(
     "others AS (SELECT * FROM documents WHERE lang <> 'en')",
     terms_cte("english", "text", "fit_"),
     terms_cte("others", "text"),
-    vocabulary_cte(500, "english", "fit_"),
+    vocabulary_cte(5000, "english", "fit_"),
     matrix_cte(),
     select=MATRIX_SELECT,
 )
@@ -465,13 +465,13 @@ ANNOTATIONS = rf"""sentence_lists AS (
  SELECT doc_id, list_filter(string_split(regexp_replace(text, '([.!?])\s+', '\1' || chr(1), 'g'), chr(1)),
   lambda s: regexp_matches(s, '\S')) AS s FROM documents),
 sentences AS (
- SELECT doc_id, i - 1 AS sent, regexp_extract_all(s[i], '[\p{{L}}\p{{N}}\p{{Mn}}_]+|[^\p{{L}}\p{{N}}\p{{Mn}}_\s]') AS w
+ SELECT doc_id, i - 1 AS sent, regexp_extract_all(s[i], '[\p{{L}}\p{{N}}_]+|[^\p{{L}}\p{{N}}\p{{Mn}}_\s]') AS w
  FROM sentence_lists, unnest(range(1, len(s) + 1)) AS u(i)),
 words AS (SELECT doc_id, sent, i, w[i] AS text, lower(w[i]) AS lemma FROM sentences, unnest(range(1, len(w) + 1)) AS u(i)),
 tokens AS (
  SELECT doc_id, sent, row_number() OVER (PARTITION BY doc_id ORDER BY sent, i) - 1 AS pos, text, lemma,
   CASE WHEN list_contains({listed(SYMBOLS)}, text) THEN 'SYM'
-  WHEN NOT regexp_matches(text, '[\p{{L}}\p{{N}}\p{{Mn}}_]') THEN 'PUNCT'
+  WHEN NOT regexp_matches(text, '[\p{{L}}\p{{N}}_]') THEN 'PUNCT'
   WHEN regexp_full_match(text, '[0-9]+') THEN 'NUM'
 {CLASS_CASES}
   WHEN regexp_matches(text, '^\p{{Lu}}') AND i > 1 THEN 'PROPN'
@@ -669,7 +669,7 @@ ORACLES["m2_test_tfidf"] = with_(
     "test AS (SELECT * FROM split WHERE is_test)",
     terms_cte("train", TEXT, "fit_"),
     terms_cte("test", TEXT),
-    vocabulary_cte(500, "train", "fit_"),
+    vocabulary_cte(6000, "train", "fit_"),
     matrix_cte(),
     select=MATRIX_SELECT,
 )

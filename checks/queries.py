@@ -47,7 +47,7 @@ RUN_DATE = "2024-01-31"
 SOURCE = "Stored pages"
 LISTING_PAGES = 1_000_000
 MAX_JOBS = 500
-FEATURES = 500
+FEATURES = lexicons.CORPUS_MAX_FEATURES
 
 QUERIES: dict[str, Query] = {}
 
@@ -566,8 +566,8 @@ def m1_split(spark, sf_dir):
 def m2_test_tfidf(spark, sf_dir):
     """Vocabulary of the train rows, matrix of the test rows."""
     rows = stored(split(spark, sf_dir), "split")
-    vocab = tfidf.vocabulary(rows.filter("not is_test"), TEXT, FEATURES)
-    return tfidf.tfidf(rows.filter("is_test"), vocab, FEATURES, TEXT)
+    vocab = tfidf.vocabulary(rows.filter("not is_test"), TEXT, lexicons.MODEL_MAX_FEATURES)
+    return tfidf.tfidf(rows.filter("is_test"), vocab, lexicons.MODEL_MAX_FEATURES, TEXT)
 
 
 @query

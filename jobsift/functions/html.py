@@ -26,7 +26,7 @@ VOID_ELEMENTS = {
 }
 
 # What must not be looked into while searching for elements
-_OPAQUE = r"<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
+_OPAQUE = r"<!--.*?(?:-->|\z)|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
 _LD_JSON = (
     r"<script\b(?=[^>]*?\stype\s*=\s*(?:\"application/ld\+json\""
     r"|'application/ld\+json'|application/ld\+json[\s>]))[^>]*>(.*?)</script\s*>"

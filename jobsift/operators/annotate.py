@@ -224,18 +224,19 @@ def _joined_entities(df: DataFrame, entries: DataFrame, key: str) -> DataFrame:
     """Spans by a distributed join, for gazetteers of any size.
 
     Annotations and gazetteer are both read more than once, so they are written
-    once instead of being computed again.
+    once instead of being computed again.  Rows are told apart by an id written
+    with them, so null and repeated keys are kept as they are.
     """
-    annotated = stored(df, "annotated")
+    annotated = stored(df.withColumn("_row", F.monotonically_increasing_id()), "annotated")
     table = stored(entries, "gazetteer")
     size = table.agg(
         F.count(F.lit(1)).alias("n"),
         F.coalesce(F.max(F.size(F.split("surface", " "))), F.lit(1)).alias("longest"),
     ).first()
     all_runs = _word_runs(F.col("tokens"), size["longest"])
-    runs = one_row_per_item(annotated, all_runs, "r", key).select(key, "r.*")
-    found = lookup_join(runs, table, "surface", F.struct(key, "pos"), table_rows=size["n"])
-    entities_of = found.groupBy(key).agg(
+    runs = one_row_per_item(annotated, all_runs, "r", "_row").select("_row", "r.*")
+    found = lookup_join(runs, table, "surface", F.struct("_row", "pos"), table_rows=size["n"])
+    entities_of = found.groupBy("_row").agg(
         F.sort_array(
             F.collect_list(
                 F.struct("pos", F.lit("ENT").alias("kind"), F.col("surface").alias("text"), "label")
@@ -244,39 +245,12 @@ def _joined_entities(df: DataFrame, entries: DataFrame, key: str) -> DataFrame:
     )
     none = F.array().cast(SPANS_TYPE)
     return (
-        annotated.join(entities_of, key, "left")
+        annotated.join(entities_of, "_row", "left")
         .withColumn("spans", F.concat("spans", F.coalesce("_entities", none)))
-        .drop("_entities")
+        .drop("_entities", "_row")
     )
 
 
-def spacy_annotator(model: str) -> AnnotatorFactory:
-    """Annotator on a spaCy pipeline, for clusters that have one installed."""
-
-    def build() -> Annotator:
-        import spacy
-
-        nlp = spacy.load(model)
-
-        def annotate_texts(texts):
-            for doc in nlp.pipe(texts, batch_size=lexicons.ANNOTATE_BATCH_ROWS):
-                sentence = {t.i: n for n, s in enumerate(doc.sents) for t in s}
-                tokens = [
-                    dict(
-                        sent=sentence[t.i], pos=t.i, text=t.text, lemma=t.lemma_, upos=t.pos_,
-                        is_space=t.is_space, is_alpha=t.is_alpha, is_stop=t.is_stop,
-                    )
-                    for t in doc
-                ]
-                spans = [dict(pos=e.start, kind="ENT", text=e.text, label=e.label_) for e in doc.ents]
-                spans += [dict(pos=c.start, kind="NP", text=c.text, label="") for c in doc.noun_chunks]
-                yield tokens, spans
-
-        return annotate_texts
-
-    return build
-
-
 def choose_annotator(*factories: AnnotatorFactory) -> AnnotatorFactory | None:
     """The first factory that can be built here; None means the built-in rules."""
     for factory in factories:

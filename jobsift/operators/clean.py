@@ -11,6 +11,7 @@ from jobsift.functions.arrays import one_row_per_item
 from jobsift.functions.stem import map_words, porter
 from jobsift.functions.text import content_tokens, normalized, text_of, word_tokens
 from jobsift.limits import lookup_join, small_rows
+from jobsift.session import stored
 from jobsift.sources.tables import require_columns
 
 TEXT_COL = "descricao_texto"
@@ -68,10 +69,15 @@ def _same(word: str) -> str:
 def lemmatize_by_join(
     df: DataFrame, tokens_col: str, out_col: str, dictionary: DataFrame, key: str = "doc_id"
 ) -> DataFrame:
-    """Dictionary forms by a distributed join, for dictionaries of any size."""
-    words = one_row_per_item(df, F.col(tokens_col), "form", key, pos="pos")
-    found = lookup_join(words, dictionary, "form", F.struct(key, "pos"), "left")
-    regrouped = found.groupBy(key).agg(
+    """Dictionary forms by a distributed join, for dictionaries of any size.
+
+    Rows are told apart by an id written with them once, so null and repeated
+    keys are kept as they are; ``key`` only serves to spread the words.
+    """
+    rows = stored(df.withColumn("_row", F.monotonically_increasing_id()), "lemma-rows")
+    words = one_row_per_item(rows, F.col(tokens_col), "form", "_row", pos="pos")
+    found = lookup_join(words, dictionary, "form", F.struct("_row", "pos"), "left")
+    regrouped = found.groupBy("_row").agg(
         F.transform(
             F.sort_array(
                 F.collect_list(F.struct("pos", F.coalesce("lemma", "form").alias("word")))
@@ -79,7 +85,7 @@ def lemmatize_by_join(
             lambda x: x["word"],
         ).alias(out_col)
     )
-    back = df.join(regrouped, key, "left")
+    back = rows.join(regrouped, "_row", "left").drop("_row")
     return back.withColumn(out_col, F.coalesce(out_col, F.array().cast("array<string>")))
 
 

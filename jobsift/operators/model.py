@@ -184,7 +184,7 @@ def train_classifier(
         elasticNetParam=0.0,
         regParam=1.0 / (inverse_penalty * rows.count()),
         standardization=False,
-        tol=1e-4,
+        tol=1e-6,
         aggregationDepth=3,
     ).fit(rows)
     return TextClassifier(features, labels, regression, text_col)

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from jobsift import lexicons
 from jobsift.functions.arrays import one_row_per_item
@@ -60,8 +61,10 @@ def seniority_distribution(
     """(seniority, n), top k; an empty table when the column is missing."""
     if col not in df.columns:
         return df.sparkSession.createDataFrame([], "seniority string, n long")
+    is_list = isinstance(df.schema[col].dataType, T.ArrayType)
+    values = F.concat_ws(",", F.slice(col, 1, 1)) if is_list else text_of(col)
     counted = (
-        df.select(key, first_seniority(text_of(col)).alias("seniority"))
+        df.select(key, first_seniority(values).alias("seniority"))
         .groupBy("seniority")
         .agg(F.count(F.lit(1)).alias("n"), F.min(key).alias("first"))
     )

@@ -11,7 +11,7 @@ from jobsift.functions.text import text_of
 from jobsift.limits import lookup_join
 from jobsift.session import stored
 
-WORD_PATTERN = r"(?U)\b\w\w+\b"
+WORD_PATTERN = r"[\p{L}\p{N}_]{2,}"
 
 
 def terms_of(text: Column) -> Column:

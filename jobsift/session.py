@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import shutil
 import tempfile
 import uuid
@@ -29,7 +30,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Folder for reliable checkpoints and hand-over tables.
 
     The cluster names a shared folder in ``spark.checkpoint.dir``.  A temporary
-    folder is used only where that is unset, which is the case in local tests.
+    folder is used only where that is unset and the session is local, which is
+    the case in tests; on a cluster executors would not share it.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
@@ -38,6 +40,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
             context.setCheckpointDir(shared)
         return shared
     if context.getCheckpointDir() is None:
+        if not re.fullmatch(r"local(\[[^,\]]*(,\s*\d+)?\])?", context.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="jobsift-"))
     return context.getCheckpointDir()
 

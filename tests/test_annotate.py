@@ -97,7 +97,6 @@ def test_choose_annotator():
     plain = make_plain_annotator()
     assert annotate.choose_annotator(broken, plain) is plain
     assert annotate.choose_annotator(broken) is None
-    assert annotate.choose_annotator(annotate.spacy_annotator("no_such_model")) is None
 
 
 def test_caps_and_distinct(spark):
