@@ -73,7 +73,7 @@ def mix(
     passes: int = MAX_PASSES,
     seed: str = SEED,
 ) -> DataFrame:
-    """One row per row of ``docs``: key, draw, size, source_size, target, ``finishes``.
+    """One row per row of ``docs``: key, mix_source, draw, size, source_size, target, ``finishes``.
 
     ``finishes`` has the finish time of each copy that the mix takes.  Null and
     empty texts have size 0 and are taken once or more at no cost.  Null is a
@@ -118,7 +118,7 @@ def mix(
             finish(turn).alias("finish"), F.col("rank"), turn.alias("turn"), F.col("draw"), F.col("size")
         ),
     )
-    queued = stored(summed.select("key", "draw", "size", "source_size", "target", copies.alias("copies")), "mix-queue")
+    queued = stored(summed.select("key", "source", "draw", "size", "source_size", "target", copies.alias("copies")), "mix-queue")
     bin_of = lambda c: F.floor(F.least(c["finish"], F.lit(4.0)) * TIME_BINS)
     flat = queued.select(F.explode("copies").alias("c")).withColumn("bin", bin_of(F.col("c")))
     # One row per bin of finish times: at most 4 * TIME_BINS + 1 rows.
@@ -137,6 +137,7 @@ def mix(
     )
     return bounded.select(
         F.col("key").alias(key),
+        F.col("source").alias("mix_source"),
         "draw",
         "size",
         "source_size",
@@ -148,10 +149,12 @@ def mix(
 def mixed_documents(docs: DataFrame, text: str = "text", source: str = "source", key: str = "doc_id", **options) -> DataFrame:
     """The rows of the mix with all their columns, a row per copy taken, in the order of finish times."""
     seed = options.get("seed", SEED)
-    # Equal rows have equal verdicts, so one per draw is joined back.
-    verdict = mix(docs, text, source, key, **options).select("draw", "finishes").dropDuplicates(["draw"])
-    verdict = verdict.where(F.size("finishes") > 0).toDF("__draw", "__finishes")
-    drawn = docs.withColumn("__draw", draw(docs, key, text, seed)).join(verdict, "__draw")
+    # Equal rows have equal verdicts, so one per draw and source is joined back.
+    verdict = mix(docs, text, source, key, **options).where(F.size("finishes") > 0)
+    verdict = verdict.select("draw", "mix_source", "finishes").dropDuplicates(["draw", "mix_source"])
+    verdict = verdict.toDF("__draw", "__source", "__finishes")
+    same = (draw(docs, key, text, seed) == F.col("__draw")) & docs[source].cast("string").eqNullSafe(F.col("__source"))
+    drawn = docs.join(verdict, same)
     copies = drawn.withColumn("__finish", F.explode("__finishes"))
     ordered = copies.repartitionByRange("__finish").sortWithinPartitions("__finish")
     return ordered.select(*[F.col(f"`{c}`") for c in docs.columns])
