@@ -27,6 +27,7 @@ from jobsift.llm._words import RangeHash, Texts, slices, words_of
 from jobsift.llm._store import stored
 
 SHINGLE = 5
+WORDED = r"[^\x20\x09-\x0D]"
 PERCENT = 80
 #: Counters of shingle frequencies: 4 MB, the same for every corpus.
 COUNTERS = 1 << 20
@@ -204,6 +205,13 @@ def similar_groups(
     own key.  Null keys take part but never name a component, unless all keys of
     it are null.  Repeated rows are copies like others; other columns are not read.
     """
+    return _judged(docs, text, key, width, percent).select(
+        F.col("key").alias(key), F.col("n").cast("long").alias("n_shingles"), "digest", "component_id"
+    )
+
+
+def _judged(docs: DataFrame, text: str, key: str, width: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """(key, mark, n, digest, label, component_id) of every row; the label is the least digest of the component."""
     signed = stored(_signatures(docs, text, key, width, percent), "signatures")
     rows = signed.select("key", "mark", "n", "digest")
     links = stored(_links(docs, text, key, signed, width, percent), "links")
@@ -214,9 +222,9 @@ def similar_groups(
         "label", F.coalesce("label", "digest")
     )
     ids = named.groupBy("label").agg(F.min("least").alias("component_id"))
-    named = named.join(ids, "label").select("digest", "component_id")
-    columns = [F.col("key").alias(key), F.col("n").cast("long").alias("n_shingles"), "digest", "component_id"]
-    empty = rows.where("n = 0").withColumn("component_id", F.col("key"))
+    named = named.join(ids, "label").select("digest", "label", "component_id")
+    columns = ["key", "mark", "n", "digest", "label", "component_id"]
+    empty = rows.where("n = 0").withColumn("label", F.lit(None).cast("binary")).withColumn("component_id", F.col("key"))
     return filled.join(named, "digest").select(*columns).unionByName(empty.select(*columns))
 
 
@@ -271,10 +279,15 @@ def _ends(pairs: DataFrame) -> DataFrame:
 def one_of_each(docs: DataFrame, text: str = "text", key: str = "doc_id", **options) -> DataFrame:
     """One row of every component with all its columns: that with the least key and, among equals, the least text hash.
 
-    Rows without words stay; equal rows count once.
+    A null key comes after all others.  Rows whose keys are null or repeated but
+    whose texts are not similar are components of their own, and each stays.
+    Rows without words all stay; of equal rows with words one does.
     """
-    groups = similar_groups(docs, text, key, **options)
-    kept = groups.where(F.col("digest").isNull() | F.col(key).eqNullSafe(F.col("component_id")))
-    kept = kept.groupBy(key).agg(F.max(F.col("digest").isNull()).alias("__blank")).toDF("__key", "__blank")
-    found = docs.join(kept, docs[key].eqNullSafe(F.col("__key"))).drop("__key", "__blank")
-    return found.dropDuplicates([key]) if key in found.columns else found
+    judged = _judged(docs, text, key, **options).where("n > 0")
+    first = judged.groupBy("label").agg(F.min(F.struct(F.col("key").isNull().alias("unnamed"), "key", "mark")).alias("first"))
+    first = first.select(F.col("first.key").alias("__key"), F.col("first.mark").alias("__mark"))
+    value = docs[text].cast("string")
+    worded = F.coalesce(value.rlike(WORDED), F.lit(False))
+    same = docs[key].eqNullSafe(F.col("__key")) & (F.xxhash64(value) == F.col("__mark"))
+    found = docs.where(worded).join(first, same).dropDuplicates(["__key", "__mark"])
+    return found.select(*[F.col(f"`{c}`") for c in docs.columns]).union(docs.where(~worded))

@@ -109,6 +109,18 @@ def test_jaccard(docs, nothing):
     assert jaccard.similar_groups(nothing).count() == 0
 
 
+def test_one_of_each_keeps_rows_with_null_and_repeated_keys(spark):
+    words = lambda start: " ".join(f"v{i}" for i in range(start, start + 40))
+    rows = [(None, words(0)), (None, words(100)), (None, words(0)), (7, words(200)), (7, words(300)), (7, words(300))]
+    rows += [(9, words(200).upper()), (3, words(0)), (None, None), (None, ""), (5, " "), (5, " ")]
+    frame = spark.createDataFrame([(*r, i % 2) for i, r in enumerate(rows)], "doc_id long, text string, mark int")
+    kept = jaccard.one_of_each(frame)
+    assert kept.columns == frame.columns
+    found = collections.Counter((r.doc_id, r.text) for r in kept.collect())
+    wanted = [(None, words(100)), (3, words(0)), (7, words(200)), (7, words(300)), (None, None), (None, ""), (5, " "), (5, " ")]
+    assert found == collections.Counter(wanted)
+
+
 def test_fm_index(docs, nothing):
     rows = [(r[0], WORD.findall(r[1] or "")) for r in corpus()]
     seen = collections.Counter(tuple(w[i : i + 35]) for _, w in rows for i in range(len(w) - 34))
