@@ -38,6 +38,11 @@ ORACLES["s1_s3_csv_round_trip"] = with_(
     POSTINGS,
     select=f"SELECT doc_id, nullif(titulo, '') AS titulo, nullif({TEXT}, '') AS {TEXT} FROM postings",
 )
+ORACLES["s1_reference_layout"] = with_(
+    POSTINGS,
+    select=f"""SELECT 'https://jobs.example/' || doc_id AS link, nullif(titulo, '') AS titulo, nullif({TEXT}, '') AS {TEXT},
+ CAST(NULL AS VARCHAR) AS empresa, CAST(doc_id AS VARCHAR) AS extra, CAST(1 AS BIGINT) AS rows_of_key FROM postings""",
+)
 ORACLES["s9_page_scan"] = "SELECT page_id, url, length(html) AS html_chars FROM pages"
 ORACLES["s10_first_rows"] = with_(
     POSTINGS, select="SELECT doc_id, titulo FROM postings ORDER BY doc_id LIMIT 100"
@@ -646,6 +651,14 @@ ORACLES["l5_labels_of_clean_text"] = with_(
     POSTINGS, CLEAN_POSTINGS, scores_cte("clean_postings", "text_clean"), BEST,
     select="SELECT doc_id, area AS label_area FROM best",
 )
+STEMMED_POSTINGS = """stemmed_postings AS (
+ SELECT p.doc_id, any_value(p.titulo) AS titulo, coalesce(string_agg(stem, ' ' ORDER BY pos), '') AS text_clean
+ FROM postings p LEFT JOIN stems s ON s.doc_id = p.doc_id GROUP BY p.doc_id)"""
+ORACLES["l5_labels_of_stemmed_text"] = with_(
+    POSTINGS, tokens_cte("postings", TEXT), *STEM_STEPS, STEMMED_POSTINGS,
+    scores_cte("stemmed_postings", "text_clean"), BEST,
+    select="SELECT doc_id, area AS label_area FROM best",
+)
 LABELED = f"""labeled AS (SELECT doc_id, {TEXT}, area AS label_area FROM best JOIN postings USING (doc_id))"""
 SPLIT = """label_sizes AS (SELECT label_area, count(*) AS n FROM labeled GROUP BY label_area),
 totals AS (SELECT sum(n) AS total, ceil(round(sum(n) * 0.2, 9)) AS n_test FROM label_sizes),

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -92,6 +92,19 @@ def s1_s3_csv_round_trip(spark, sf_dir):
     return tables.read_postings_csv(spark, path, postings.schema)
 
 
+@query
+def s1_reference_layout(spark, sf_dir):
+    """A file without key, in another order and with a column more, bound by name."""
+    path = scratch_path(spark, "layout")
+    nothing = [F.lit(None).cast("string").alias(c) for c in tables.POSTING_COLUMNS if c not in ("titulo", TEXT, "link")]
+    link = F.concat(F.lit("https://jobs.example/"), "doc_id")
+    extra = F.col("doc_id").cast("string").alias("extra")
+    sinks.write_csv(views.postings(spark, sf_dir).select(TEXT, *nothing, link.alias("link"), extra, "titulo"), path)
+    read = tables.read_postings_csv(spark, path)
+    same_key = F.count(F.lit(1)).over(Window.partitionBy("doc_id"))
+    return read.select("link", "titulo", TEXT, "empresa", "extra", same_key.alias("rows_of_key"))
+
+
 @query
 def s4_raw_postings_sink(spark, sf_dir):
     path = scratch_path(spark, "raw")
@@ -552,6 +565,13 @@ def l5_labels_of_clean_text(spark, sf_dir):
     return label.label_areas(words).select("doc_id", "label_area")
 
 
+@query
+def l5_labels_of_stemmed_text(spark, sf_dir):
+    """Labels from ``text_clean`` as the chain makes it."""
+    cleaned = clean.clean_text(views.postings(spark, sf_dir), TEXT)
+    return label.label_areas(cleaned).select("doc_id", "label_area")
+
+
 def split(spark, sf_dir):
     rows = labeled(spark, sf_dir).select("doc_id", TEXT, "label_area")
     return model.stratified_split(stored(rows, "labeled"))
@@ -572,9 +592,7 @@ def m2_test_tfidf(spark, sf_dir):
 
 @query
 def m3_m4_predictions(spark, sf_dir):
-    _, predicted = model.evaluate(
-        stored(labeled(spark, sf_dir), "labeled"), TEXT, max_features=2000, max_iter=200
-    )
+    _, predicted = model.evaluate(stored(labeled(spark, sf_dir), "labeled"), TEXT)
     return predicted
 
 
@@ -648,5 +666,4 @@ def a6_top_posting_skills(spark, sf_dir):
 @query
 def p1_end_to_end(spark, sf_dir):
     """Rows per result table of the whole chain."""
-    cfg = chain.Config(max_features=2000, model_max_features=2000, model_max_iter=200)
-    return chain.summary(chain.run(spark, views.postings(spark, sf_dir), cfg))
+    return chain.summary(chain.run(spark, views.postings(spark, sf_dir)))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -44,14 +44,37 @@ def require_columns(df: DataFrame, *names: str, any_of: bool = False) -> None:
 
 
 def read_postings_csv(
-    spark: SparkSession, path: str, schema: T.StructType = POSTING_SCHEMA
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType = POSTING_SCHEMA,
+    text_col: str = "descricao_texto",
+    key: str = "doc_id",
 ) -> DataFrame:
     """Header CSV with quoted line breaks; an empty field is null.
 
+    Columns are bound by name: those of ``schema`` come first, with its types
+    and null where the file lacks them, then all others as text.  A value that
+    does not fit its type is null.  A file without the text column is an error,
+    as are files with different headers.  Without a key column the key is a
+    64-bit hash of the link, or of all fields where the link is empty.
+
     Quoted line breaks make a CSV file unsplittable, so a large corpus should
     come as many files, or be converted to Parquet once.
     """
-    return spark.read.schema(schema).options(**CSV_OPTIONS).csv(path)
+    raw = spark.read.options(**CSV_OPTIONS, enforceSchema="false").csv(path)
+    require_columns(raw, text_col)
+
+    def bound(field: T.StructField) -> Column:
+        if field.name in raw.columns:
+            return F.col(f"`{field.name}`").try_cast(field.dataType).alias(field.name)
+        if field.name == key:
+            every = F.xxhash64(*[F.col(f"`{c}`") for c in raw.columns])
+            links = F.when(F.col("link").isNotNull(), F.xxhash64("link")) if "link" in raw.columns else F.lit(None)
+            return F.coalesce(links, every).cast(field.dataType).alias(key)
+        return F.lit(None).cast(field.dataType).alias(field.name)
+
+    others = [F.col(f"`{c}`") for c in raw.columns if c not in schema.names]
+    return raw.select(*[bound(field) for field in schema], *others)
 
 
 def read_postings(spark: SparkSession, path: str) -> DataFrame:

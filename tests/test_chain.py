@@ -80,3 +80,26 @@ def test_stream_gives_the_batch_result(spark, sf_dir, tmp_path):
     got = spark.read.parquet(str(tmp_path / "out"))
     expected = stream.enrich_stream(spark.read.parquet(str(tmp_path / "in")))
     assert got.exceptAll(expected).isEmpty() and got.count() == expected.count()
+
+
+def test_csv_is_bound_by_name(spark, tmp_path):
+    path = str(tmp_path / "layout")
+    rows = [("7 lines\nlong", "Dev", "x", "l1"), ("b", None, "y", "l2"), ("c", "QA", None, None)]
+    df = spark.createDataFrame(rows, "descricao_texto string, titulo string, extra string, link string")
+    sinks.write_csv(df, path)
+    back = tables.read_postings_csv(spark, path)
+    assert back.columns == [*tables.POSTING_SCHEMA.names, "extra"]
+    got = back.orderBy("descricao_texto").collect()
+    assert [(r.descricao_texto, r.titulo, r.extra, r.link, r.empresa) for r in got] == [
+        (text, title, extra, link, None) for text, title, extra, link in rows
+    ]
+    assert len({r.doc_id for r in got}) == 3 and all(r.doc_id is not None for r in got)
+    again = tables.read_postings_csv(spark, path).orderBy("descricao_texto").collect()
+    assert [r.doc_id for r in again] == [r.doc_id for r in got]
+
+
+def test_csv_without_text_is_an_error(spark, tmp_path):
+    path = str(tmp_path / "other")
+    spark.createDataFrame([("a",)], "titulo string").write.option("header", "true").csv(path)
+    with pytest.raises(ValueError, match="descricao_texto"):
+        tables.read_postings_csv(spark, path)
