@@ -19,7 +19,7 @@ from pyspark.sql import Window as W
 
 from jobsift import lexicons
 from jobsift.functions.text import text_of
-from jobsift.limits import MAX_BROADCAST_ROWS, small_rows
+from jobsift.limits import MAX_BROADCAST_ROWS
 from jobsift.operators.tfidf import terms_of, vocabulary
 from jobsift.session import stored
 
@@ -72,8 +72,9 @@ def stratified_split(
     Same rows as ranking each label by hash, without sorting a label in one
     task: a histogram of hash buckets finds the bucket where the quota is
     reached, only that bucket is ranked, and all rows are then compared with the
-    one hash per label at which the test set ends.  Reads ``df`` three times,
-    so pass a stored table when the labels are expensive.
+    one hash per label at which the test set ends.  That table is written, so
+    its size is known to the last join, whatever the number of labels.  Reads
+    ``df`` several times: pass a stored table when the labels are expensive.
     """
     hashed = df.withColumn("_hash", split_hash(key, seed))
     bucket = F.conv(F.substring("_hash", 1, BUCKET_HEX_DIGITS), 16, 10).cast("int")
@@ -82,28 +83,21 @@ def stratified_split(
     sizes = histogram.groupBy(label_col).agg(F.sum("n").alias("n"))
     quotas = test_quotas(sizes, label_col, test_size)
     earlier = W.partitionBy(label_col).orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
-    cut_rows = small_rows(
+    cut = (
         histogram.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
         .join(quotas, label_col)
         .filter((F.col("before") < F.col("quota")) & (F.col("quota") <= F.col("before") + F.col("n")))
         .select(label_col, "_bucket", (F.col("quota") - F.col("before")).alias("take"))
     )
-    if cut_rows is None:
-        raise ValueError(f"{label_col} has too many distinct values to stratify by")
-    label_type = df.schema[label_col].dataType.simpleString()
-    cut = df.sparkSession.createDataFrame(
-        cut_rows, f"{label_col} {label_type}, _bucket int, take long"
-    )
     in_order = W.partitionBy(label_col).orderBy("_hash", key)
     last_test_row = (
-        keys.join(F.broadcast(cut), [label_col, "_bucket"])
+        keys.join(cut, [label_col, "_bucket"])
         .withColumn("_rank", F.row_number().over(in_order))
         .filter(F.col("_rank") == F.col("take"))
         .select(label_col, F.struct("_hash", key).alias("_last"))
     )
-    # the broadcast side has one row per label, whose number was checked above
     return (
-        hashed.join(F.broadcast(last_test_row), label_col, "left")
+        hashed.join(stored(last_test_row, "split-cut"), label_col, "left")
         .withColumn(
             "is_test", F.coalesce(F.struct("_hash", key) <= F.col("_last"), F.lit(False))
         )

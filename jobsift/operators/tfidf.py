@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from jobsift import limits
 from jobsift.functions.arrays import let, one_row_per_item
 from jobsift.functions.text import text_of
 from jobsift.limits import lookup_join
@@ -97,24 +103,66 @@ def tfidf(
     """(doc_id, term_id, term, tf, tfidf) with rows of unit length.
 
     Also the transform of unseen documents: terms outside the vocabulary are
-    dropped before anything moves.  The one shuffle, by document, serves both
-    the counts and the length of the row.
+    dropped.  A vocabulary of at most ``MAX_BROADCAST_ROWS`` terms, a bound that
+    ``max_features`` proves, travels with the tasks; each document is then counted
+    where it is read and nothing shuffles.  Every row of ``docs`` is a document of
+    its own, also with a null or repeated key.
     """
-    matched = lookup_join(
-        term_rows(docs, text_col, key),
-        vocab.select("term", "term_id", "idf"),
-        "term",
-        F.col(key),
-        table_rows=max_features,
+    if max_features > limits.MAX_BROADCAST_ROWS:
+        return _tfidf_by_join(docs, vocab, text_col, key)
+    rows = vocab.select("term_id", "term", "idf").orderBy("term_id").collect()
+    shipped = docs.sparkSession.sparkContext.broadcast(
+        (
+            pa.array([r["term"] for r in rows], pa.string()),
+            np.array([r["term_id"] for r in rows], dtype="int32"),
+            np.array([r["idf"] for r in rows], dtype="float64"),
+        )
     )
-    weighted = (
-        matched.repartition(key)
-        .groupBy(key, "term_id", "term", "idf")
-        .agg(F.count(F.lit(1)).alias("tf"))
-        .withColumn("w", F.col("tf") * F.col("idf"))
+
+    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        terms, ids, idf = shipped.value
+        for batch in batches:
+            lists = batch.column(1)
+            place = pc.index_in(lists.flatten(), value_set=terms)
+            known = pc.is_valid(place).to_numpy(zero_copy_only=False)
+            document = pc.list_parent_indices(lists).to_numpy()[known]
+            term = place.drop_null().to_numpy().astype("int64")
+            pairs, tf = np.unique(document * max(len(ids), 1) + term, return_counts=True)
+            document, term = np.divmod(pairs, max(len(ids), 1))
+            weight = tf * idf[term]
+            length = np.sqrt(np.bincount(document, weight * weight, minlength=batch.num_rows))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0).take(pa.array(document)),
+                    pa.array(ids[term]),
+                    terms.take(pa.array(term)),
+                    pa.array(tf.astype("int64")),
+                    pa.array(weight / length[document]),
+                ],
+                [key, "term_id", "term", "tf", "tfidf"],
+            )
+
+    kind = docs.schema[key].dataType.simpleString()
+    words = docs.select(key, F.coalesce(terms_of(text_of(text_col)), F.array().cast("array<string>")).alias("terms"))
+    return words.mapInArrow(weigh, f"`{key}` {kind}, term_id int, term string, tf long, tfidf double")
+
+
+def _tfidf_by_join(docs: DataFrame, vocab: DataFrame, text_col: str, key: str) -> DataFrame:
+    """The same table for a vocabulary of any size.
+
+    Rows are told apart by an id written with them once; the counts meet by it.
+    """
+    rows = stored(docs.select(key, text_col, F.monotonically_increasing_id().alias("_row")), "tfidf-rows")
+    known = vocab.select("term", "term_id", "idf")
+    counted = term_rows(rows, text_col, "_row").groupBy("_row", "term").agg(F.count(F.lit(1)).alias("tf"))
+    matched = lookup_join(counted, known, "term", F.col("_row"))
+    weighted = matched.withColumn("w", F.col("tf") * F.col("idf"))
+    length = F.sqrt(F.sum(F.col("w") * F.col("w")).over(W.partitionBy("_row")))
+    return (
+        weighted.withColumn("tfidf", F.col("w") / length)
+        .join(rows.select("_row", key), "_row")
+        .select(key, "term_id", "term", "tf", "tfidf")
     )
-    length = F.sqrt(F.sum(F.col("w") * F.col("w")).over(W.partitionBy(key)))
-    return weighted.select(key, "term_id", "term", "tf", (F.col("w") / length).alias("tfidf"))
 
 
 def build_tfidf(

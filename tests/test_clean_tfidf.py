@@ -125,3 +125,29 @@ def test_tfidf_without_broadcast_is_the_same(spark, sf_dir, monkeypatch):
     large = [tuple(r) for r in tfidf.build_tfidf(corpus, "t", 200)[0].orderBy(*order).collect()]
     assert [r[:4] for r in small] == [r[:4] for r in large]
     assert [r[4] for r in small] == pytest.approx([r[4] for r in large])
+
+
+@pytest.mark.parametrize("limit", [200_000, 1])
+def test_every_row_is_a_document_whatever_its_key(spark, monkeypatch, limit):
+    rows = [(None, "aa bb"), (None, "aa"), (1, "aa aa"), (1, "bb"), (2, ""), (3, None)]
+    corpus = spark.createDataFrame(rows, "doc_id long, t string")
+    vocab = tfidf.vocabulary(docs(spark, "aa", "bb"), "t", 10)
+    monkeypatch.setattr(limits, "MAX_BROADCAST_ROWS", limit)
+    got = [(r.doc_id, r.term, r.tf, round(r.tfidf, 6)) for r in tfidf.tfidf(corpus, vocab, 10, "t").collect()]
+    half = round(math.sqrt(0.5), 6)
+    assert sorted(got, key=repr) == sorted(
+        [(None, "aa", 1, half), (None, "bb", 1, half), (None, "aa", 1, 1.0), (1, "aa", 2, 1.0), (1, "bb", 1, 1.0)],
+        key=repr,
+    )
+
+
+def test_an_empty_vocabulary_weighs_nothing(spark):
+    vocab = tfidf.vocabulary(docs(spark, "", "x"), "t", 10)
+    assert tfidf.tfidf(docs(spark, "aa", ""), vocab, 10, "t").collect() == []
+
+
+def test_weighing_does_not_shuffle(spark, sf_dir):
+    corpus = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    vocab = tfidf.vocabulary(docs(spark, "aa", "bb"), "t", 10)
+    plan = tfidf.tfidf(corpus, vocab, 10, "text")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan

@@ -46,11 +46,11 @@ def test_hot_label(spark):
     assert split.filter("is_test and label_area = 'hot'").count() == 200
 
 
-def test_too_many_labels_is_an_error(spark, monkeypatch):
-    df = spark.range(100).select(F.col("id").alias("doc_id"), (F.col("id") % 50).cast("string").alias("y"))
-    monkeypatch.setattr(model, "small_rows", lambda rows: limits.small_rows(rows, 5))
-    with pytest.raises(ValueError):
-        model.stratified_split(df, "y")
+def test_any_number_of_labels_is_split(spark):
+    df = spark.range(2000).select(F.col("id").alias("doc_id"), (F.col("id") % 1000).cast("string").alias("y"))
+    split = model.stratified_split(df, "y", test_size=0.5)
+    per_label = split.groupBy("y").agg(F.sum(F.col("is_test").cast("int")).alias("n")).collect()
+    assert len(per_label) == 1000 and {r.n for r in per_label} == {1}
 
 
 def test_hot_url(spark):
