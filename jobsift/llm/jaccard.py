@@ -7,8 +7,9 @@ are one node; sets with the same size and prefix are one group; groups that shar
 a prefix shingle are candidates, filtered by size and place, and then expanded to
 their sets, which are verified exactly.
 
-Only components are wanted, so each posting list is first joined with its leader.
-Whatever these links do not connect is compared pair by pair.
+Only components are wanted, so each posting list and each group is first joined
+with its leader.  Whatever these links do not connect is compared pair by pair, in
+lists of different groups and inside each group.
 """
 
 from __future__ import annotations
@@ -233,6 +234,7 @@ def _links(docs: DataFrame, text: str, key: str, signed: DataFrame, width: int,
     filled = signed.where("n > 0")
     members = stored(filled.select("g", "n", "digest", "bits").dropDuplicates(["g", "digest"]), "group-members")
     leaders = members.groupBy("g", "n").agg(F.min(F.struct("digest", "bits")).alias("l")).select("g", "n", "l.*")
+    several = members.groupBy("g").agg(F.count(F.lit(1)).alias("sets")).where("sets > 1").select("g")
     groups = stored(filled.groupBy("g").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix")), "groups")
     listed = groups.select("g", F.explode("prefix").alias("token"))
     tops = listed.groupBy("token").agg(F.min("g").alias("top"), F.count(F.lit(1)).alias("groups"))
@@ -248,7 +250,7 @@ def _links(docs: DataFrame, text: str, key: str, signed: DataFrame, width: int,
     rows = signed.select("digest", "mark")
     links = stored(_verified(tried, _sets(docs, text, key, rows, _ends(tried), width), percent), "leader-links")
 
-    # What the leaders did not connect: tokens whose sets lie in different components.
+    # What the leaders did not connect: groups and tokens whose sets lie in different components.
     labels = components(links)
     known = members.join(labels.withColumnRenamed("node", "digest"), "digest", "left").withColumn(
         "label", F.coalesce("label", "digest")
@@ -262,10 +264,23 @@ def _links(docs: DataFrame, text: str, key: str, signed: DataFrame, width: int,
     other = a.join(
         b,
         (F.col("a.token") == F.col("b.token"))
+        & (F.col("a.g") != F.col("b.g"))
         & (F.col("a.label") < F.col("b.label"))
         & _fits(side("a"), side("b"), percent),
     )
-    rest = other.select(F.col("a.digest").alias("u"), F.col("b.digest").alias("v")).distinct()
+    # Sets of one group share the whole prefix, so they are compared by group and not by token or place.
+    grouped = stored(known.join(several, "g", "left_semi"), "grouped")
+    split = grouped.groupBy("g").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
+    open_groups = grouped.join(split.select("g"), "g", "left_semi")
+    c, d = open_groups.alias("c"), open_groups.alias("d")
+    within = c.join(
+        d,
+        (F.col("c.g") == F.col("d.g"))
+        & (F.col("c.label") < F.col("d.label"))
+        & _fits(side("c"), side("d"), percent, placed=False),
+    )
+    rest = other.select(F.col("a.digest").alias("u"), F.col("b.digest").alias("v"))
+    rest = rest.union(within.select(F.col("c.digest").alias("u"), F.col("d.digest").alias("v"))).distinct()
     untried = tried.union(tried.select("v", "u"))
     rest = stored(rest.join(untried, ["u", "v"], "left_anti"), "open-pairs")
     more = _verified(rest, _sets(docs, text, key, rows, _ends(rest), width), percent)

@@ -109,6 +109,18 @@ def test_jaccard(docs, nothing):
     assert jaccard.similar_groups(nothing).count() == 0
 
 
+def test_jaccard_links_members_that_are_not_like_their_leader(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "shingle_counts", lambda *_: np.ones(jaccard.COUNTERS, np.uint32))
+    rows = []
+    for k in range(60):
+        w = [f"w{k}x{i}" for i in range(13)]
+        rows += [" ".join(t) for t in ([*w[:12], f"p{k}", f"q{k}"], [*w, f"x{k}"], [*w, f"y{k}"])]
+    frame = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").repartition(3)
+    expected = {i: i - (i % 3 == 2) for i in range(len(rows))}
+    assert {r.doc_id: r.component_id for r in jaccard.similar_groups(frame).collect()} == expected
+    assert sorted(r.doc_id for r in jaccard.one_of_each(frame).collect()) == [i for i in expected if i % 3 < 2]
+
+
 def test_one_of_each_keeps_rows_with_null_and_repeated_keys(spark):
     words = lambda start: " ".join(f"v{i}" for i in range(start, start + 40))
     rows = [(None, words(0)), (None, words(100)), (None, words(0)), (7, words(200)), (7, words(300)), (7, words(300))]
