@@ -4,6 +4,11 @@ Numbers, names and units become typed placeholders, so a question with other
 parameters has the same template.  Windows of template tokens of the benchmark
 are joined by hash with those of the corpus; aligned windows count when the slots
 agree, which means that a value of the item always became the same value.
+
+What is a name can only be guessed from capitals, so a text is read in three forms
+and an item is found in any of them: names inside a sentence as placeholders; names
+as folded words, for copies in another letter case; every capitalised word as a
+possible name, for names that open a sentence.
 """
 
 from __future__ import annotations
@@ -27,6 +32,7 @@ BLOCK_WINDOWS = 1_000_000
 #: Rows of benchmark windows that are broadcast in the join that follows; more are shuffled.
 BROADCAST_WINDOWS = 100_000
 
+FORMS = INNER, FOLDED, OPEN = range(3)
 LITERAL, NUMBER, NAME, UNIT = range(4)
 KINDS = ("literal", "number", "name", "unit")
 NUMBER_WORDS = (
@@ -75,12 +81,14 @@ class Template:
     first: np.ndarray
 
 
-def template(texts: Texts) -> Template:
+def template(texts: Texts, form: int = INNER) -> Template:
     """Canonical tokens: runs of letters and digits, letter case folded.
 
     Tokens with a digit and number words are numbers, unit words are units, words
     with one capital first letter inside a sentence are names.  Numbers and names
     side by side make one slot.
+    No word is a name in ``FOLDED``, every word with a capital first letter is one
+    in ``OPEN``.
     """
     data, bounds = texts.bytes, texts.bounds
     n = len(data)
@@ -115,8 +123,11 @@ def template(texts: Texts) -> Template:
         opens = breaks[start] > breaks[np.minimum(gap, start)]
         heads = first[:-1][first[:-1] < first[1:]]
         opens[heads] = True
-        name = capital[start] & ~opens & (capitals[end] - capitals[start] == 1) & (end - start > 1)
-        kind[name] = NAME
+        name = capital[start] & (end - start > 1)
+        if form == INNER:
+            name &= ~opens & (capitals[end] - capitals[start] == 1)
+        if form != FOLDED:
+            kind[name] = NAME
         kind[_among(hashes, _UNITS)] = UNIT
         kind[(numbers[end] > numbers[start]) | _among(hashes, _NUMBERS)] = NUMBER
         follows = np.zeros(len(start), bool)
@@ -153,11 +164,11 @@ def _slots(texts: Texts, t: Template, at: int, size: int) -> list[str]:
     return found
 
 
-_HIT = "hash long, size int, place long, slots array<string>"
+_HIT = "form int, hash long, size int, place long, slots array<string>"
 
 
 def benchmark_windows(benchmark: DataFrame, text: str, key: str, size: int, least: int) -> DataFrame:
-    """(item, n_windows, hash, size, place, slots) of all windows of the items.
+    """(item, form, hash, size, place, slots) of all windows of the items.
 
     An item shorter than a window is one window of its own length; without enough literal tokens it has none.
     """
@@ -166,39 +177,50 @@ def benchmark_windows(benchmark: DataFrame, text: str, key: str, size: int, leas
         for batch in batches:
             rows = []
             for texts in slices(batch.column(1)):
-                t = template(texts)
                 items = batch.column(0)[texts.rows].to_pylist()
-                lengths = np.diff(t.first)
-                for width in {int(min(size, n)) for n in lengths if n}:
-                    hashes, at, text_of = _windows(t, width, least)
-                    right = np.minimum(size, lengths[text_of]) == width
-                    literals = totals(t.kind == LITERAL, t.first)[text_of] >= least
-                    for i in np.flatnonzero(right & literals):
-                        rows.append(
-                            {
-                                "item": items[text_of[i]],
-                                "hash": int(hashes[i].astype(np.int64)),
-                                "size": width,
-                                "place": int(at[i] - t.first[text_of[i]]),
-                                "slots": _slots(texts, t, int(at[i]), width),
-                            }
-                        )
+                for form in FORMS:
+                    t = template(texts, form)
+                    enough = least
+                    lengths = np.diff(t.first)
+                    for width in {int(min(size, n)) for n in lengths if n}:
+                        hashes, at, text_of = _windows(t, width, enough)
+                        right = np.minimum(size, lengths[text_of]) == width
+                        literals = totals(t.kind == LITERAL, t.first)[text_of] >= enough
+                        for i in np.flatnonzero(right & literals):
+                            rows.append(
+                                {
+                                    "item": items[text_of[i]],
+                                    "form": form,
+                                    "hash": int(hashes[i].astype(np.int64)),
+                                    "size": width,
+                                    "place": int(at[i] - t.first[text_of[i]]),
+                                    "slots": _slots(texts, t, int(at[i]), width),
+                                }
+                            )
             if rows:
                 yield pa.RecordBatch.from_pylist(rows, _schema(batch.schema.field(0).type, "item"))
 
     kind = benchmark.schema[key].dataType.simpleString()
     rows = benchmark.select(benchmark[key].alias("item"), benchmark[text].cast("string").alias("text"))
-    return rows.mapInArrow(run, f"item {kind}, {_HIT}").dropDuplicates(["item", "size", "place"])
+    return rows.mapInArrow(run, f"item {kind}, {_HIT}").dropDuplicates(["item", "form", "size", "place"])
 
 
 def _schema(kind: pa.DataType, name: str, *more: tuple[str, pa.DataType]) -> pa.Schema:
     return pa.schema(
-        [(name, kind), *more, ("hash", pa.int64()), ("size", pa.int32()), ("place", pa.int64()), ("slots", pa.list_(pa.string()))]
+        [
+            (name, kind),
+            *more,
+            ("form", pa.int32()),
+            ("hash", pa.int64()),
+            ("size", pa.int32()),
+            ("place", pa.int64()),
+            ("slots", pa.list_(pa.string())),
+        ]
     )
 
 
-def corpus_hits(docs: DataFrame, text: str, key: str, wanted: dict[int, np.ndarray], least: int) -> DataFrame:
-    """(key, mark, hash, size, place, slots) of the corpus windows whose hash is wanted."""
+def corpus_hits(docs: DataFrame, text: str, key: str, wanted: dict[tuple[int, int], np.ndarray], least: int) -> DataFrame:
+    """(key, mark, form, hash, size, place, slots) of the corpus windows whose hash is wanted."""
     sent = docs.sparkSession.sparkContext.broadcast(wanted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -206,8 +228,9 @@ def corpus_hits(docs: DataFrame, text: str, key: str, wanted: dict[int, np.ndarr
             rows = []
             schema = _schema(batch.schema.field(0).type, "key", ("mark", pa.int64()))
             for texts in slices(batch.column(2)):
-                t = template(texts)
-                for width, ordered in sent.value.items():
+                templates = {form: template(texts, form) for form in {form for form, _ in sent.value}}
+                for (form, width), ordered in sent.value.items():
+                    t = templates[form]
                     hashes, at, text_of = _windows(t, width, least)
                     hit = np.flatnonzero(_among(hashes, ordered))
                     for i in hit:
@@ -216,6 +239,7 @@ def corpus_hits(docs: DataFrame, text: str, key: str, wanted: dict[int, np.ndarr
                             {
                                 "key": batch.column(0)[row].as_py(),
                                 "mark": batch.column(1)[row].as_py(),
+                                "form": form,
                                 "hash": int(hashes[i].astype(np.int64)),
                                 "size": width,
                                 "place": int(at[i] - t.first[text_of[i]]),
@@ -234,15 +258,17 @@ def corpus_hits(docs: DataFrame, text: str, key: str, wanted: dict[int, np.ndarr
     return rows.mapInArrow(run, f"key {kind}, mark long, {_HIT}")
 
 
-def _blocks(windows: DataFrame, block: int) -> Iterator[dict[int, np.ndarray]]:
-    """The distinct window hashes by size, at most ``block`` at a time."""
-    distinct = windows.select("size", "hash").distinct()
+def _blocks(windows: DataFrame, block: int) -> Iterator[dict[tuple[int, int], np.ndarray]]:
+    """The distinct window hashes by form and size, at most ``block`` at a time."""
+    distinct = windows.select("form", "size", "hash").distinct()
     passes = max(1, -(-distinct.count() // block))
     part = F.pmod(F.xxhash64("hash"), F.lit(passes))
     for i in range(passes):
         rows = distinct.where(part == i).collect()  # about ``block`` rows
-        sizes = sorted({r["size"] for r in rows})
-        yield {s: np.sort(np.array([r["hash"] for r in rows if r["size"] == s], np.int64).astype(np.uint64)) for s in sizes}
+        found: dict[tuple[int, int], list[int]] = {}
+        for r in rows:
+            found.setdefault((r["form"], r["size"]), []).append(r["hash"])
+        yield {k: np.sort(np.array(found[k], np.int64).astype(np.uint64)) for k in sorted(found)}
 
 
 def contaminated(
@@ -258,11 +284,11 @@ def contaminated(
 ) -> DataFrame:
     """(key, mark, item, n_matched, n_windows, n_alignments): documents that hold an item.
 
-    A pair counts when at least ``coverage`` of the windows of the item occur in
-    alignments with consistent slots.  ``mark`` is the xxhash64 of the text, which
+    A pair counts when in one form at least ``coverage`` of the windows of the item
+    occur in alignments with consistent slots.  The figures are those of the first such form.
+    ``mark`` is the xxhash64 of the text, which
     with the key tells rows apart whose keys are null or repeated; equal rows give
-    one.  Null and empty texts, and items without enough literal tokens, match
-    nothing.  The benchmark is a stated query set: its window hashes go to all
+    one.  Null and empty texts match nothing; items without enough literal tokens match nothing.  The benchmark is a stated query set: its window hashes go to all
     rows, in passes of bounded size.
     """
     windows = stored(benchmark_windows(benchmark, item_text, item_key, window, least), "benchmark-windows")
@@ -271,12 +297,12 @@ def contaminated(
         found = corpus_hits(docs, text, key, wanted, least)
         hits = found if hits is None else hits.unionByName(found)
     hits = stored(hits, "benchmark-hits")
-    named = windows.select("item", "hash", "size", F.col("place").alias("item_place"), F.col("slots").alias("item_slots"))
+    named = windows.select("item", "form", "hash", "size", F.col("place").alias("item_place"), F.col("slots").alias("item_slots"))
     if windows.count() <= BROADCAST_WINDOWS:
         named = F.broadcast(named)
-    aligned = hits.join(named, ["hash", "size"]).where(F.size("slots") == F.size("item_slots"))
+    aligned = hits.join(named, ["form", "hash", "size"]).where(F.size("slots") == F.size("item_slots"))
     aligned = aligned.withColumn("shift", F.col("place") - F.col("item_place"))
-    same = ["key", "mark", "item", "shift"]
+    same = ["key", "mark", "item", "form", "shift"]
     pairs = aligned.select(*same, F.explode(F.arrays_zip(F.col("item_slots").alias("a"), F.col("slots").alias("b"))).alias("s"))
     values = pairs.groupBy(*same, F.col("s.a").alias("a")).agg(F.min("s.b").alias("low"), F.max("s.b").alias("high"))
     broken = values.where("low <> high").select(*same).distinct().withColumn("broken", F.lit(True))
@@ -285,14 +311,14 @@ def contaminated(
     for one in conditions[1:]:
         condition &= one
     agreeing = aligned.alias("l").join(broken.alias("r"), condition, "left_anti")
-    matched = agreeing.groupBy("key", "mark", "item").agg(
+    matched = agreeing.groupBy("key", "mark", "item", "form").agg(
         F.countDistinct("item_place").alias("n_matched"), F.countDistinct("shift").alias("n_alignments")
     )
-    sizes = windows.groupBy("item").agg(F.count(F.lit(1)).alias("n_windows")).withColumnRenamed("item", "i")
-    judged = matched.join(sizes, F.col("item").eqNullSafe(F.col("i"))).drop("i")
-    return judged.where(F.col("n_matched") >= F.lit(coverage) * F.col("n_windows")).select(
-        F.col("key").alias(key), "mark", "item", "n_matched", "n_windows", "n_alignments"
-    )
+    sizes = windows.groupBy("item", "form").agg(F.count(F.lit(1)).alias("n_windows")).toDF("i", "f", "n_windows")
+    judged = matched.join(sizes, F.col("item").eqNullSafe(F.col("i")) & (F.col("form") == F.col("f")))
+    found = judged.where(F.col("n_matched") >= F.lit(coverage) * F.col("n_windows"))
+    best = found.groupBy("key", "mark", "item").agg(F.min(F.struct("form", "n_matched", "n_windows", "n_alignments")).alias("b"))
+    return best.select(F.col("key").alias(key), "mark", "item", "b.n_matched", "b.n_windows", "b.n_alignments")
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, text: str = "text", key: str = "doc_id", **options) -> DataFrame:

@@ -248,6 +248,19 @@ def test_contamination(spark, docs, nothing):
     assert clean.count() == len(corpus()) and clean.columns == docs.columns
 
 
+def found_items(spark, rows, items):
+    frames = [spark.createDataFrame(list(enumerate(x)), f"{k} long, text string") for k, x in (("doc_id", rows), ("item_id", items))]
+    return {(r.doc_id, r.item) for r in decontaminate.contaminated(*frames).collect()}
+
+
+def test_contamination_whatever_the_capitals(spark):
+    train = "A train with 40 red wagons leaves Berlin at noon and every wagon carries 12 kg of coal to Paris, so how much is it?"
+    tom = "Tom has 3 boxes of pens. Tom buys 4 more boxes. Tom gives 2 boxes to Ann. How many are left?"
+    rows = [train.lower(), train.upper(), train.replace(" Berlin", "\nBerlin").replace(" Paris", "\nParis"), tom.replace("Tom", "Sara").replace("3", "8")]
+    rows += ["Sara has 5 boxes of pens. Paul buys 6 more boxes. Mike gives 7 boxes to Eve. How many are left?", "nothing of it"]
+    assert found_items(spark, rows, [train, tom]) == {(0, 0), (1, 0), (2, 0), (3, 1)}
+
+
 def test_secrets(spark, docs, nothing):
     rng = random.Random(3)
     key = "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/") for _ in range(40))
