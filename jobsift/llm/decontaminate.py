@@ -5,10 +5,11 @@ parameters has the same template.  Windows of template tokens of the benchmark
 are joined by hash with those of the corpus; aligned windows count when the slots
 agree, which means that a value of the item always became the same value.
 
-What is a name can only be guessed from capitals, so a text is read in three forms
+What is a name can only be guessed from capitals, so a text is read in four forms
 and an item is found in any of them: names inside a sentence as placeholders; names
 as folded words, for copies in another letter case; every capitalised word as a
-possible name, for names that open a sentence.
+possible name, for names that open a sentence; and all tokens as they are, with
+their numbers, for items and windows with few literals.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from jobsift.llm._words import RangeHash, Texts, buffer_of, mixed, slices, totals
@@ -27,12 +28,14 @@ from jobsift.llm._store import stored
 WINDOW = 8
 MIN_LITERALS = 4
 COVERAGE = 0.5
+#: Consecutive windows of plain tokens that count without coverage: 13 tokens word for word.
+RUN_WINDOWS = 6
 #: Window hashes of the benchmark that go to the executors at once; more go in several passes.
 BLOCK_WINDOWS = 1_000_000
 #: Rows of benchmark windows that are broadcast in the join that follows; more are shuffled.
 BROADCAST_WINDOWS = 100_000
 
-FORMS = INNER, FOLDED, OPEN = range(3)
+FORMS = INNER, FOLDED, OPEN, PLAIN = range(4)
 LITERAL, NUMBER, NAME, UNIT = range(4)
 KINDS = ("literal", "number", "name", "unit")
 NUMBER_WORDS = (
@@ -56,6 +59,30 @@ _SENTENCE = np.zeros(256, bool)
 _SENTENCE[list(b'.!?:;\n"|([*#-')] = True
 
 
+#: Scripts written without spaces, by the first two bytes of a character.
+_UNSPACED = np.zeros(1 << 16, bool)
+for _low, _high in ((0xE0B8, 0xE0BB), (0xE180, 0xE182), (0xE19E, 0xE19F), (0xE380, 0xE9BF), (0xEFA4, 0xEFAB), (0xEFBC, 0xEFBE), (0xF0A0, 0xF0B3)):
+    _UNSPACED[_low : _high + 1] = True
+
+
+def _unspaced(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First and last bytes of the characters of such scripts, and the bytes of their punctuation."""
+    at = np.flatnonzero(data >= 0xE0)
+    size = np.where(data[at] >= 0xF0, 4, 3)
+    at, size = at[at + size <= len(data)], size[at + size <= len(data)]
+    wide = data.astype(np.int64)
+    among = _UNSPACED[wide[at] << 8 | wide[at + 1]]
+    at, size = at[among], size[among]
+    point = (wide[at] & 15) << 12 | (wide[at + 1] & 63) << 6 | wide[at + 2] & 63
+    marks = (point >= 0x3000) & (point <= 0x303F) & ~((point >= 0x3005) & (point <= 0x3007))
+    for low, high in ((0xFF00, 0xFF0F), (0xFF1A, 0xFF20), (0xFF3B, 0xFF40), (0xFF5B, 0xFF65)):
+        marks |= (point >= low) & (point <= high)
+    marks |= point == 0x30FB
+    marks &= size == 3
+    punctuation = (at[marks][:, None] + np.arange(3)).ravel()
+    return at[~marks], at[~marks] + size[~marks] - 1, punctuation
+
+
 def _word_hashes(words: list[str]) -> np.ndarray:
     data, bounds = buffer_of(pa.array(words))
     return np.sort(RangeHash(data).of(bounds[:-1], bounds[1:]))
@@ -86,16 +113,21 @@ def template(texts: Texts, form: int = INNER) -> Template:
 
     Tokens with a digit and number words are numbers, unit words are units, words
     with one capital first letter inside a sentence are names.  Numbers and names
-    side by side make one slot.
+    side by side make one slot.  A character of a script without spaces is a token.
     No word is a name in ``FOLDED``, every word with a capital first letter is one
-    in ``OPEN``.
+    in ``OPEN``, and all tokens are literals in ``PLAIN``.
     """
     data, bounds = texts.bytes, texts.bounds
     n = len(data)
     solid = _TOKEN[data]
+    heads, tails, punctuation = _unspaced(data)
+    solid[punctuation] = False
     begins, ends = solid.copy(), solid.copy()
     begins[1:] &= ~solid[:-1]
     ends[:-1] &= ~solid[1:]
+    begins[heads], ends[tails] = True, True
+    before, behind = heads[heads > 0] - 1, tails[tails < n - 1] + 1
+    ends[before], begins[behind] = solid[before], solid[behind]
     inner = bounds[(bounds > 0) & (bounds < n)]
     begins[inner] = solid[inner]
     ends[inner - 1] = solid[inner - 1]
@@ -118,7 +150,7 @@ def template(texts: Texts, form: int = INNER) -> Template:
     breaks = np.zeros(n + 1, np.int64)
     np.cumsum(_SENTENCE[data], out=breaks[1:])
     kind = np.zeros(len(start), np.int8)
-    if len(start):
+    if len(start) and form != PLAIN:
         gap = np.append(bounds[0], end[:-1])
         opens = breaks[start] > breaks[np.minimum(gap, start)]
         heads = first[:-1][first[:-1] < first[1:]]
@@ -170,7 +202,7 @@ _HIT = "form int, hash long, size int, place long, slots array<string>"
 def benchmark_windows(benchmark: DataFrame, text: str, key: str, size: int, least: int) -> DataFrame:
     """(item, form, hash, size, place, slots) of all windows of the items.
 
-    An item shorter than a window is one window of its own length; without enough literal tokens it has none.
+    An item shorter than a window is one window of its own length; without enough literal tokens it has none but in ``PLAIN``.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -180,7 +212,7 @@ def benchmark_windows(benchmark: DataFrame, text: str, key: str, size: int, leas
                 items = batch.column(0)[texts.rows].to_pylist()
                 for form in FORMS:
                     t = template(texts, form)
-                    enough = least
+                    enough = 0 if form == PLAIN else least
                     lengths = np.diff(t.first)
                     for width in {int(min(size, n)) for n in lengths if n}:
                         hashes, at, text_of = _windows(t, width, enough)
@@ -231,7 +263,7 @@ def corpus_hits(docs: DataFrame, text: str, key: str, wanted: dict[tuple[int, in
                 templates = {form: template(texts, form) for form in {form for form, _ in sent.value}}
                 for (form, width), ordered in sent.value.items():
                     t = templates[form]
-                    hashes, at, text_of = _windows(t, width, least)
+                    hashes, at, text_of = _windows(t, width, 0 if form == PLAIN else least)
                     hit = np.flatnonzero(_among(hashes, ordered))
                     for i in hit:
                         row = texts.rows.start + int(text_of[i])
@@ -281,14 +313,17 @@ def contaminated(
     window: int = WINDOW,
     least: int = MIN_LITERALS,
     coverage: float = COVERAGE,
+    run: int = RUN_WINDOWS,
 ) -> DataFrame:
     """(key, mark, item, n_matched, n_windows, n_alignments): documents that hold an item.
 
     A pair counts when in one form at least ``coverage`` of the windows of the item
-    occur in alignments with consistent slots.  The figures are those of the first such form.
+    occur in alignments with consistent slots, or when ``run`` windows of plain
+    tokens occur one after another.  The figures are those of the first such form.
     ``mark`` is the xxhash64 of the text, which
     with the key tells rows apart whose keys are null or repeated; equal rows give
-    one.  Null and empty texts match nothing; items without enough literal tokens match nothing.  The benchmark is a stated query set: its window hashes go to all
+    one.  Null and empty texts match nothing; items without enough literal tokens
+    match word for word.  The benchmark is a stated query set: its window hashes go to all
     rows, in passes of bounded size.
     """
     windows = stored(benchmark_windows(benchmark, item_text, item_key, window, least), "benchmark-windows")
@@ -311,12 +346,19 @@ def contaminated(
     for one in conditions[1:]:
         condition &= one
     agreeing = aligned.alias("l").join(broken.alias("r"), condition, "left_anti")
-    matched = agreeing.groupBy("key", "mark", "item", "form").agg(
-        F.countDistinct("item_place").alias("n_matched"), F.countDistinct("shift").alias("n_alignments")
+    # Consecutive places of an alignment have the same distance to their rank.
+    pair = ["key", "mark", "item", "form"]
+    plain = agreeing.where(F.col("form") == PLAIN).select(*same, "item_place").distinct()
+    rank = F.row_number().over(Window.partitionBy(*same).orderBy("item_place"))
+    stretches = plain.withColumn("stretch", F.col("item_place") - rank).groupBy(*same, "stretch").agg(F.count(F.lit(1)).alias("run"))
+    longest = stretches.groupBy(*pair).agg(F.lit(None).cast("long").alias("place"), F.lit(None).cast("long").alias("shift"), F.max("run").alias("run"))
+    places = agreeing.select(*pair, F.col("item_place").alias("place"), "shift", F.lit(0).cast("long").alias("run"))
+    matched = places.unionByName(longest).groupBy(*pair).agg(
+        F.countDistinct("place").alias("n_matched"), F.countDistinct("shift").alias("n_alignments"), F.max("run").alias("run")
     )
     sizes = windows.groupBy("item", "form").agg(F.count(F.lit(1)).alias("n_windows")).toDF("i", "f", "n_windows")
     judged = matched.join(sizes, F.col("item").eqNullSafe(F.col("i")) & (F.col("form") == F.col("f")))
-    found = judged.where(F.col("n_matched") >= F.lit(coverage) * F.col("n_windows"))
+    found = judged.where((F.col("n_matched") >= F.lit(coverage) * F.col("n_windows")) | (F.col("run") >= run))
     best = found.groupBy("key", "mark", "item").agg(F.min(F.struct("form", "n_matched", "n_windows", "n_alignments")).alias("b"))
     return best.select(F.col("key").alias(key), "mark", "item", "b.n_matched", "b.n_windows", "b.n_alignments")
 

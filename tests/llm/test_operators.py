@@ -261,6 +261,14 @@ def test_contamination_whatever_the_capitals(spark):
     assert found_items(spark, rows, [train, tom]) == {(0, 0), (1, 0), (2, 0), (3, 1)}
 
 
+def test_contamination_with_few_literals(spark):
+    long = " ".join(f"word{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(100))
+    sums, chinese = "What is 12 * 7 + 30 - 5?", "小明有三个苹果，他又买了五个，一共有多少个苹果？"
+    rows = ["so: what is 12 * 7 + 30 - 5? Say.", "what is 12 * 7 + 31 - 5?", "题目：" + chinese + "请回答。", "今天天气很好，我们去公园。"]
+    rows += ["x " + " ".join(long.split()[20:68]) + " y", " ".join(long.split()[20:30])]
+    assert found_items(spark, rows, [sums, chinese, long]) == {(0, 0), (2, 1), (4, 2)}
+
+
 def test_secrets(spark, docs, nothing):
     rng = random.Random(3)
     key = "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/") for _ in range(40))
