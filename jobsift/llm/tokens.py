@@ -149,18 +149,22 @@ class Encoder:
 
     The tokenizer splits before the white space that follows a word, whatever
     comes around, so a text may be cut there and pieces encoded apart.  Pieces are
-    told apart by 64-bit hashes.
+    told apart by 64-bit hashes.  A special token in a text has its own id, as with
+    the library's defaults, and the piece that holds it is encoded alone.
     """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(path)
-        self.model.encode_special_tokens = True
         self.vocabulary = self.model.get_vocab_size()
         names = [self.model.id_to_token(i) or "" for i in range(self.vocabulary)]
         #: A byte-level token has one character for each of its bytes.
         self.token_bytes = np.array([len(x) for x in names], np.int64)
+        added = {i: t.content.encode() for i, t in self.model.get_added_tokens_decoder().items()}
+        for i, content in added.items():
+            self.token_bytes[i] = len(content)
+        self.special = list(added.values())
         self._forget()
 
     def _forget(self) -> None:
@@ -189,6 +193,9 @@ class Encoder:
 
     def _encode_new(self, data: np.ndarray, start: np.ndarray, end: np.ndarray, joinable: np.ndarray) -> None:
         raw = data.tobytes()
+        if any(x in raw for x in self.special):
+            held = [any(x in raw[a:b] for x in self.special) for a, b in zip(start.tolist(), end.tolist(), strict=True)]
+            joinable = joinable & ~np.array(held, bool)
         runs, alone = np.flatnonzero(joinable), np.flatnonzero(~joinable)
         groups = [runs[at : at + 256] for at in range(0, len(runs), 256)] + [alone[i : i + 1] for i in range(len(alone))]
         lists = [[raw[start[i] : end[i]] for i in group] for group in groups]

@@ -215,6 +215,21 @@ def test_token_ids(spark, docs, nothing):
     assert tokens.token_digests(spark, nothing).count() == 0
 
 
+def test_token_ids_of_special_strings(spark):
+    from tokenizers import Tokenizer
+
+    model = Tokenizer.from_file(tokens._tokenizer_path(tokens.TOKENIZER))
+    texts = ["a b<|endoftext|>c", "<|endoftext|>", "x  <|endoftext|>  <|endoftext|><|endoftext|> y z", "<|endoftext| > q", "a b c", "é<|endoftext|>\n\n日本 b"]
+    start, expected = 0, []
+    for key, text in enumerate(texts):
+        ids = [*model.encode(text, add_special_tokens=False).ids, tokens.END_ID]
+        expected.append((key, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = tokens.token_digests(spark, frame).collect()
+    assert bag((r.doc_id, r.start, r.n_tokens, r.ids_crc32) for r in got) == bag(expected)
+
+
 @pytest.mark.parametrize("bits", [1, 7, 16, 17])
 def test_packing_and_random_access(bits):
     rng = np.random.default_rng(bits)
