@@ -7,13 +7,16 @@ and length band, a Benjamini-Hochberg procedure over all tokens of the corpus
 decides which of them are ordinary strings; those it cannot tell from random ones
 are reported.  So among the tokens set aside, the share of random ones is bounded
 by the rate, at every length.
+
+A run that fits no single alphabet is split at the separators that do not fit, and
+what a fixed pattern leaves of a run is tested too.
 """
 
 from __future__ import annotations
 
 import math
 import re
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,8 +37,7 @@ MIN_ASSIGN, MIN_ACCESS, MIN_HEX = 6, 20, 24
 KINDS = ("assign", "access", "hex", "random")
 
 TOKEN = re.compile(r"[A-Za-z0-9+/_-]{20,}={0,2}")
-#: A shorter token carries too little for the tests.
-MIN_BITS = 96
+MIN_LENGTH = 20
 RATE = 0.05
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -49,7 +51,11 @@ ENCODINGS = (
     ("alnum", _UPPER + _LOWER + _DIGITS),
     ("base64", _UPPER + _LOWER + _DIGITS + "+/"),
     ("base64url", _UPPER + _LOWER + _DIGITS + "-_"),
+    ("lower", _LOWER),
+    ("upper", _UPPER),
+    ("digits", _DIGITS),
 )
+_ONE_CLASS = range(6, 9)
 _INDEX = [{c: i for i, c in enumerate(letters)} for _, letters in ENCODINGS]
 #: p-values are counted in bins of this width of -ln p, rounded to the larger p.
 BINS_PER_UNIT = 8
@@ -67,6 +73,16 @@ def encoding_of(token: str) -> int | None:
     return next((i for i, index in enumerate(_INDEX) if letters <= index.keys()), None)
 
 
+def alphabet_of(token: str) -> int | None:
+    """As ``encoding_of``, but a token of one class of characters has an encoding of its own."""
+    body = token.rstrip("=")
+    letters = set(body)
+    found = next((i for i in _ONE_CLASS if letters <= _INDEX[i].keys()), None)
+    if found is None:
+        found = next((i for i, index in enumerate(_INDEX) if letters <= index.keys()), None)
+    return found if letters - set("+/_-") else None
+
+
 def _normal_tail(z: float) -> float:
     return math.erfc(abs(z) / math.sqrt(2))
 
@@ -122,26 +138,71 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 _LONG_HEX = re.compile(HEX.pattern[:-1] + "{%d,}" % MIN_HEX)
 
 
+_SPLITS = (re.compile("[^/+]+"), re.compile("[^_-]+"))
+
+
+def _uncovered(start: int, end: int, known: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """What ordered spans leave of a range."""
+    left = []
+    for a, b in known:
+        if a > start:
+            left.append((start, min(a, end)))
+        start = max(start, b)
+    return [*left, (start, end)] if start < end else left
+
+
+def _tested(text: str, start: int, end: int) -> tuple[int, int, int, int] | None:
+    """(start, end, stratum, bin) of a token that is long enough and fits one alphabet."""
+    token = text[start:end]
+    n = len(token.rstrip("="))
+    encoding = alphabet_of(token) if n >= MIN_LENGTH else None
+    if encoding is None:
+        return None
+    p = max(randomness(token, encoding), 1e-300)
+    place = min(LAST_BIN, int(-math.log(min(p, 1.0)) * BINS_PER_UNIT))
+    return start, end, encoding * 64 + n.bit_length(), place
+
+
+def _split(text: str, start: int, end: int) -> list[tuple[int, int, int, int]]:
+    """The parts of a run of mixed alphabets, cut at the one or the other kind of separators.
+
+    Where such parts overlap, one stays: a part that may be random before others,
+    the longer of those, and else the more random one.
+    """
+    parts = {(m.start(), m.end()) for one in _SPLITS for m in one.finditer(text, start, end)}
+    found = [t for a, b in parts if (t := _tested(text, a, b))]
+    likely = int(-math.log(RATE) * BINS_PER_UNIT)
+    found.sort(key=lambda t: (t[3] > likely, t[0] - t[1] if t[3] <= likely else t[3], t[0]))
+    kept: list[tuple[int, int, int, int]] = []
+    for t in found:
+        if all(t[1] <= k[0] or k[1] <= t[0] for k in kept):
+            kept.append(t)
+    return sorted(kept)
+
+
 def candidates(text: str, known: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int]]:
-    """(start, end, stratum, bin) of tested tokens that overlap no base span."""
-    starts, ends = [], []
+    """(start, end, stratum, bin) of tested tokens, outside of base spans."""
+    merged: list[tuple[int, int]] = []
     for start, _, end in known:
-        starts.append(start)
-        ends.append(max(end, ends[-1]) if ends else end)
+        if merged and start <= merged[-1][1]:
+            merged[-1] = (merged[-1][0], max(end, merged[-1][1]))
+        else:
+            merged.append((start, end))
+    starts, ends = [a for a, _ in merged], [b for _, b in merged]
     found = []
     for m in TOKEN.finditer(text):
-        before = bisect_left(starts, m.end())
-        if before and ends[before - 1] > m.start():
-            continue
-        encoding = encoding_of(m[0])
-        if encoding is None:
-            continue
-        n = len(m[0].rstrip("="))
-        if n * math.log2(len(_INDEX[encoding])) < MIN_BITS:
-            continue
-        p = max(randomness(m[0], encoding), 1e-300)
-        place = min(LAST_BIN, int(-math.log(min(p, 1.0)) * BINS_PER_UNIT))
-        found.append((m.start(), m.end(), encoding * 64 + n.bit_length(), place))
+        near = merged[bisect_right(ends, m.start()) : bisect_left(starts, m.end())]
+        for a, b in _uncovered(m.start(), m.end(), near):
+            if near:
+                a += len(text[a:b]) - len(text[a:b].lstrip("+/_-="))
+                b -= len(text[a:b]) - len(text[a:b].rstrip("+/_-"))
+            if b - a < MIN_LENGTH:
+                continue
+            body = set(text[a:b])
+            if body & set("/+") and body & set("_-"):
+                found += _split(text, a, b)
+            elif t := _tested(text, a, b):
+                found.append(t)
     return found
 
 

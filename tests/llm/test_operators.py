@@ -296,6 +296,30 @@ def test_secrets(spark, docs, nothing):
     assert secrets.scan_secrets(docs).count() == len(corpus()) and secrets.scan_secrets(nothing).count() == 0
 
 
+def test_secrets_within_runs():
+    rng = random.Random(11)
+
+    def spans(letters, before, after="", n=40):
+        """How many of 200 random keys lie in a tested span that the battery takes for random."""
+        hits = 0
+        for _ in range(200):
+            key = "".join(rng.choice(letters) for _ in range(n))
+            text = before + key + after
+            found = secrets.candidates(text, secrets.base_spans(text))
+            assert all(x[1] <= y[0] for x, y in zip(found, found[1:], strict=False))
+            hits += any(a <= len(before) and len(before) + n <= b and place < 8 * 4.6 for a, b, _, place in found)
+        return hits
+
+    letters = [x for _, x in secrets.ENCODINGS]
+    assert spans(letters[3], "https://api.example.com/v1/my-app/") > 180
+    assert spans(letters[3], "0a" * 12 + "/") > 180
+    assert spans(letters[1], "see ", n=22) > 150
+    # Digits from 24 on are base spans.
+    for one, n in (("abcdefghijklmnopqrstuvwxyz", 40), ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", 40), ("0123456789", 22)):
+        assert spans(one, "see ", " here", n) > 180
+    assert secrets.candidates("-" * 30 + " " + "/" * 25, []) == []
+
+
 def test_secret_tests_are_calibrated():
     rng = random.Random(7)
     letters = secrets.ENCODINGS[3][1]
