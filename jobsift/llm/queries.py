@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobsift.llm import chat, decontaminate, fmindex, jaccard, mixing, quality, secrets, suffixes, tokens, warc
+from jobsift.llm import (
+    chat,
+    clusters,
+    decontaminate,
+    divergence,
+    fmindex,
+    jaccard,
+    maxscore,
+    mixing,
+    quality,
+    secrets,
+    suffixes,
+    tokens,
+    warc,
+)
 from jobsift.llm._store import stored
 from jobsift.session import ship_package
 
@@ -206,3 +220,121 @@ def op7_suffix_levels(spark, sf_dir):
     return found.select(
         "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
     )
+
+
+@query
+def op11_source_divergence(spark, sf_dir):
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op11_source_divergence"] = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS doc, coalesce(text, '') AS text, coalesce(lang, '') AS lang, coalesce(source, '') AS source
+  FROM documents
+), words AS (
+  SELECT doc, lang, source, translate(unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term
+  FROM docs
+), kept AS (
+  SELECT lang, term, CAST(count(*) AS HUGEINT) AS n FROM words GROUP BY lang, term HAVING count(DISTINCT doc) >= 3
+), langs AS (
+  SELECT lang, CAST(sum(n) AS HUGEINT) AS total, CAST(count(*) AS HUGEINT) AS v FROM kept GROUP BY lang
+), counts AS (
+  SELECT w.lang, w.source, w.term, CAST(count(*) AS HUGEINT) AS n
+  FROM words w JOIN kept k ON w.lang = k.lang AND w.term = k.term GROUP BY ALL
+), groups AS (
+  SELECT g.lang, g.source, coalesce(CAST(sum(c.n) AS HUGEINT), 0) AS total
+  FROM (SELECT DISTINCT lang, source FROM docs) g LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source
+  GROUP BY ALL
+), shares AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+    1 + (CAST(1000000000 AS HUGEINT) * (coalesce(c.n, 0) + 1)) // (g.total + l.v) AS p,
+    1 + (CAST(1000000000 AS HUGEINT) * (k.n + 1)) // (l.total + l.v) AS whole
+  FROM groups g JOIN kept k ON k.lang = g.lang JOIN langs l ON l.lang = g.lang
+  LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+), pairs AS (
+  SELECT a.lang, a.source, b.source AS item, CAST(coalesce(sum(((x.p - y.p) * (x.p - y.p)) // y.p), 0) AS BIGINT) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN shares x ON x.lang = a.lang AND x.source = a.source
+  LEFT JOIN shares y ON y.lang = b.lang AND y.source = b.source AND y.term = x.term
+  GROUP BY ALL
+), terms AS (
+  SELECT lang, source, term AS item, CAST(((p - whole) * (p - whole)) // whole AS BIGINT) AS value
+  FROM shares WHERE n > 0 AND p > whole
+), ranked AS (
+  SELECT *, 'pair' AS part, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS rank FROM pairs
+  UNION ALL BY NAME
+  SELECT *, 'term' AS part, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS rank FROM terms
+)
+SELECT lang, source, part, item, value, CAST(rank AS INTEGER) AS rank FROM ranked WHERE part = 'pair' OR rank <= 200
+"""
+
+
+@query
+def op12_maxscore(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings")
+    return maxscore.best_products(vectors, vectors["vec_id"] % 50 == 0)
+
+
+ORACLES["op12_maxscore"] = """
+WITH kept AS (
+  SELECT vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, d.vec_id,
+    coalesce(list_sum([coalesce(z[1], 0) * coalesce(z[2], 0) FOR z IN list_zip(q.v, d.v)]), 0) AS score
+  FROM kept q JOIN kept d ON q.vec_id <> d.vec_id WHERE q.vec_id % 50 = 0
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, CAST(score AS BIGINT) AS score FROM ranked WHERE rank <= 5
+"""
+
+
+@query
+def op13_hilbert_clusters(spark, sf_dir):
+    found = clusters.cluster(table(spark, sf_dir, "embeddings"))
+    digest = F.sha2(F.array_join(F.transform("centroid", lambda c: c.cast("string")), ","), 256)
+    return found.select(
+        F.col("id").alias("vec_id"), "cluster", "distance", "cluster_inertia", "inertia", digest.alias("centroid_sha256")
+    )
+
+
+def _cluster_sql(rounds: int = 3) -> str:
+    near = """
+SELECT vec_id, v, min(struct_pack(distance := distance, cluster := cluster)) AS best
+FROM (
+  SELECT vec_id, v, cluster, list_sum([(z[1] - z[2]) * (z[1] - z[2]) FOR z IN list_zip(v, c)]) AS distance
+  FROM kept, centroids{0}
+) GROUP BY vec_id, v"""
+    steps = []
+    for i in range(rounds):
+        steps.append(f"near{i} AS MATERIALIZED ({near.format(i)})")
+        steps.append(
+            f"""sums{i} AS MATERIALIZED (
+SELECT cluster, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS c FROM (
+  SELECT best.cluster AS cluster, i, sum(v[i]) AS s, CAST(count(*) AS HUGEINT) AS n
+  FROM near{i}, (SELECT unnest(range(1, 65)) AS i) GROUP BY ALL
+) GROUP BY cluster)"""
+        )
+        steps.append(
+            f"""centroids{i + 1} AS MATERIALIZED (
+SELECT cluster, coalesce(s.c, o.c) AS c FROM centroids{i} o LEFT JOIN sums{i} s USING (cluster))"""
+        )
+    return f"""
+WITH kept AS MATERIALIZED (
+  SELECT vec_id, [CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), centroids0 AS MATERIALIZED (
+  SELECT CAST(row_number() OVER (ORDER BY sha256('1:' || vec_id)) - 1 AS INTEGER) AS cluster, v AS c
+  FROM kept ORDER BY sha256('1:' || vec_id) LIMIT 16
+), {", ".join(steps)}, final AS MATERIALIZED ({near.format(rounds)})
+SELECT vec_id, best.cluster AS cluster, CAST(best.distance AS BIGINT) AS distance,
+  CAST(sum(best.distance) OVER (PARTITION BY best.cluster) AS BIGINT) AS cluster_inertia,
+  CAST(sum(best.distance) OVER () AS BIGINT) AS inertia,
+  sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM final JOIN centroids{rounds} ON centroids{rounds}.cluster = best.cluster
+"""
+
+
+ORACLES["op13_hilbert_clusters"] = _cluster_sql()
