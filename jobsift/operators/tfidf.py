@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -18,11 +19,21 @@ from jobsift.limits import lookup_join
 from jobsift.session import stored
 
 WORD_PATTERN = r"[\p{L}\p{N}_]{2,}"
+# Words that a task counts at a time, distinct terms it holds, and equal counts that one task ranks.
+SLICE_WORDS = 1 << 20
+HELD_TERMS = 1 << 20
+RANKED_TERMS = 10_000
+PREFIX_STEP = 2
+
+
+def words_of(text: Column) -> Column:
+    """Words of two characters and more in lower case."""
+    return F.regexp_extract_all(F.lower(text), F.lit(WORD_PATTERN), F.lit(0))
 
 
 def terms_of(text: Column) -> Column:
     """Words of two characters and more, followed by the pairs of neighbours."""
-    words = F.regexp_extract_all(F.lower(text), F.lit(WORD_PATTERN), F.lit(0))
+    words = words_of(text)
 
     def with_pairs(a: Column) -> Column:
         pairs = F.greatest(F.size(a) - 1, F.lit(0))
@@ -66,31 +77,160 @@ def term_frequencies(docs: DataFrame, text_col: str) -> DataFrame:
     )
 
 
-def top_terms(docs: DataFrame, text_col: str, max_features: int) -> DataFrame:
-    """(term, cf) of the terms with the highest corpus count, ties by the term."""
-    terms = one_row_per_item(docs, terms_of(text_of(text_col)), "term")
-    counted = terms.groupBy("term").agg(F.count(F.lit(1)).alias("cf"))
-    return counted.orderBy(F.desc("cf"), "term").limit(max_features)
+def _slice_totals(lists: pa.ListArray) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Distinct terms of some documents with their occurrences and documents."""
+    coded = lists.flatten().dictionary_encode()
+    n = max(len(coded.dictionary), 1)
+    word = coded.indices.to_numpy().astype("int64")
+    document = pc.list_parent_indices(lists).to_numpy().astype("int64")
+    neighbours = document[1:] == document[:-1]
+    pairs, pair = np.unique(word[:-1][neighbours] * n + word[1:][neighbours], return_inverse=True)
+    term = np.concatenate([word, n + pair])
+    of_document = np.concatenate([document, document[1:][neighbours]])
+    size = n + len(pairs)
+    occurrences = np.bincount(term, minlength=size)
+    documents = np.bincount(np.unique(of_document * size + term) % size, minlength=size)
+    first, second = np.divmod(pairs, n)
+    words = coded.dictionary
+    joined = pc.binary_join_element_wise(words.take(pa.array(first)), words.take(pa.array(second)), " ")
+    used = len(words)
+    keep = np.r_[0:used, n:size]
+    return pa.concat_arrays([words, joined.cast(words.type)]), occurrences[keep], documents[keep]
+
+
+def _partial_totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per task: partly summed (term, cf, df), and the number of documents as the df of a null term."""
+    names = ["term", "cf", "df"]
+    held: list[pa.Table] = []
+    size = n_docs = 0
+
+    def summed() -> pa.Table:
+        found = pa.concat_tables(held).group_by("term").aggregate([("cf", "sum"), ("df", "sum")])
+        return found.select(["term", "cf_sum", "df_sum"]).rename_columns(names)
+
+    for batch in batches:
+        lists = batch.column(0)
+        n_docs += len(lists)
+        ends = np.cumsum(pc.list_value_length(lists).to_numpy())
+        at = 0
+        while at < len(lists):
+            before = ends[at - 1] if at else 0
+            to = max(int(np.searchsorted(ends, before + SLICE_WORDS, "right")), at + 1)
+            held.append(pa.table(list(_slice_totals(lists.slice(at, to - at))), names=names))
+            size += len(held[-1])
+            at = to
+            if size > HELD_TERMS:
+                held = [summed()]
+                size = len(held[0])
+                if size > HELD_TERMS // 2:
+                    yield from held[0].combine_chunks().to_batches(max_chunksize=1 << 16)
+                    held, size = [], 0
+    if held:
+        yield from summed().combine_chunks().to_batches(max_chunksize=1 << 16)
+    nothing = pa.array([None], pa.string())
+    yield pa.RecordBatch.from_arrays([nothing, pa.array([0], pa.int64()), pa.array([n_docs], pa.int64())], names)
+
+
+def term_totals(docs: DataFrame, text_col: str) -> DataFrame:
+    """(term, cf, df) of all terms, and one row with a null term and the number of documents as df.
+
+    Both counts come from one scan.  A task counts whole batches by word codes and
+    sends each of its distinct terms once or a few times.
+    """
+    words = docs.select(F.coalesce(words_of(text_of(text_col)), F.array().cast("array<string>")).alias("words"))
+    parts = words.mapInArrow(_partial_totals, "term string, cf long, df long")
+    return parts.groupBy("term").agg(F.sum("cf").alias("cf"), F.sum("df").alias("df"))
+
 
+def _last_of_first(rows: DataFrame, column: str, k: int) -> str:
+    """The k-th smallest of distinct texts.
 
-def vocabulary(
-    docs: DataFrame, text_col: str, max_features: int, key: str = "doc_id"
-) -> DataFrame:
+    Counts per prefix find the prefix that holds it, then longer prefixes within that one,
+    until few enough are left to rank.  One row reaches the driver each time.
+    """
+    prefix, length = "", 0
+    while True:
+        inside = rows.filter(F.col(column).startswith(prefix))
+        if inside.count() <= RANKED_TERMS:
+            ranked = inside.select(column, F.row_number().over(W.orderBy(column)).alias("place"))
+            return ranked.filter(F.col("place") == k).first()[column]
+        length += PREFIX_STEP
+        counted = inside.groupBy(F.substring(column, 1, length).alias("prefix")).agg(F.count(F.lit(1)).alias("n"))
+        upto = counted.withColumn("upto", F.sum("n").over(W.orderBy("prefix")))
+        row = upto.filter(F.col("upto") >= k).agg(F.min_by(F.struct("prefix", "n", "upto"), "upto").alias("r")).first()["r"]
+        prefix, k = row["prefix"], k - (row["upto"] - row["n"])
+        if len(prefix) < length:  # shorter than asked for: a whole text, and texts are distinct
+            return prefix
+
+
+def most_frequent(totals: DataFrame, max_features: int) -> DataFrame:
+    """The rows of the ``max_features`` largest counts, ties by the term.
+
+    A histogram of the counts finds the count at which the vocabulary is full.  What is
+    above it is kept as it is; only the terms with just that count are ranked, and
+    neither is sorted as a whole.  ``totals`` is read several times.
+    """
+    histogram = totals.groupBy("cf").agg(F.count(F.lit(1)).alias("n"))
+    # one row per distinct count, some square root of the words of the corpus
+    upto = histogram.withColumn("upto", F.sum("n").over(W.orderBy(F.desc("cf"))))
+    full = upto.filter(F.col("upto") >= max_features).agg(F.max_by(F.struct("cf", "n", "upto"), "cf").alias("r")).first()["r"]
+    if full is None:
+        return totals
+    at_cut = totals.filter(F.col("cf") == full["cf"])
+    if full["upto"] == max_features:
+        return totals.filter(F.col("cf") >= full["cf"])
+    last = _last_of_first(at_cut, "term", max_features - (full["upto"] - full["n"]))
+    return totals.filter((F.col("cf") > full["cf"]) | ((F.col("cf") == full["cf"]) & (F.col("term") <= last)))
+
+
+def vocabulary(docs: DataFrame, text_col: str, max_features: int) -> DataFrame:
     """(term_id, term, cf, df, idf) of the ``max_features`` most frequent terms.
 
-    Ids follow alphabetic order.  Document frequencies are only counted for the
-    terms that are kept, so just one pass shuffles the whole set of terms.
+    Ids follow alphabetic order.  The corpus is read once; its distinct terms are written
+    with their counts, as finding the cut reads them several times.
     """
-    top = top_terms(docs, text_col, max_features)
-    distinct = F.array_distinct(terms_of(text_of(text_col)))
-    per_document = one_row_per_item(docs, distinct, "term", key)
-    kept = lookup_join(per_document, top, "term", F.col(key), table_rows=max_features)
-    frequencies = kept.groupBy("term", "cf").agg(F.count(F.lit(1)).alias("df"))
-    n_docs = docs.select(F.count(F.lit(1))).scalar()
-    smooth_idf = F.log((n_docs + 1) / (F.col("df") + 1)) + 1
+    totals = stored(term_totals(docs, text_col), "term-totals")
+    n_docs = totals.filter("term IS NULL").first()["df"]
+    kept = most_frequent(totals.filter("term IS NOT NULL"), max_features)
+    smooth_idf = F.log((F.lit(n_docs) + 1) / (F.col("df") + 1)) + 1
     # at most max_features rows reach this window
     ids = F.row_number().over(W.orderBy("term")) - 1
-    return frequencies.select(ids.alias("term_id"), "term", "cf", "df", smooth_idf.alias("idf"))
+    return kept.select(ids.alias("term_id"), "term", "cf", "df", smooth_idf.alias("idf"))
+
+
+@dataclass
+class Weights:
+    """A vocabulary as arrays, to weigh the documents of a batch."""
+
+    terms: pa.Array
+    ids: np.ndarray
+    idf: np.ndarray
+
+    @classmethod
+    def of(cls, vocab: DataFrame) -> Weights:
+        rows = vocab.select("term_id", "term", "idf").orderBy("term_id").collect()
+        return cls(
+            pa.array([r["term"] for r in rows], pa.string()),
+            np.array([r["term_id"] for r in rows], dtype="int32"),
+            np.array([r["idf"] for r in rows], dtype="float64"),
+        )
+
+    def weigh(self, lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Document, place in the vocabulary, count and weight of each known term, by document and term."""
+        place = pc.index_in(lists.flatten(), value_set=self.terms)
+        known = pc.is_valid(place).to_numpy(zero_copy_only=False)
+        document = pc.list_parent_indices(lists).to_numpy()[known]
+        term = place.drop_null().to_numpy().astype("int64")
+        pairs, tf = np.unique(document * max(len(self.ids), 1) + term, return_counts=True)
+        document, term = np.divmod(pairs, max(len(self.ids), 1))
+        weight = tf * self.idf[term]
+        length = np.sqrt(np.bincount(document, weight * weight, minlength=len(lists)))
+        return document, term, tf, weight / length[document]
+
+
+def term_lists(text_col: str) -> Column:
+    """The terms of a text, an empty list for none."""
+    return F.coalesce(terms_of(text_of(text_col)), F.array().cast("array<string>"))
 
 
 def tfidf(
@@ -110,40 +250,25 @@ def tfidf(
     """
     if max_features > limits.MAX_BROADCAST_ROWS:
         return _tfidf_by_join(docs, vocab, text_col, key)
-    rows = vocab.select("term_id", "term", "idf").orderBy("term_id").collect()
-    shipped = docs.sparkSession.sparkContext.broadcast(
-        (
-            pa.array([r["term"] for r in rows], pa.string()),
-            np.array([r["term_id"] for r in rows], dtype="int32"),
-            np.array([r["idf"] for r in rows], dtype="float64"),
-        )
-    )
+    shipped = docs.sparkSession.sparkContext.broadcast(Weights.of(vocab))
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        terms, ids, idf = shipped.value
+        vocabulary = shipped.value
         for batch in batches:
-            lists = batch.column(1)
-            place = pc.index_in(lists.flatten(), value_set=terms)
-            known = pc.is_valid(place).to_numpy(zero_copy_only=False)
-            document = pc.list_parent_indices(lists).to_numpy()[known]
-            term = place.drop_null().to_numpy().astype("int64")
-            pairs, tf = np.unique(document * max(len(ids), 1) + term, return_counts=True)
-            document, term = np.divmod(pairs, max(len(ids), 1))
-            weight = tf * idf[term]
-            length = np.sqrt(np.bincount(document, weight * weight, minlength=batch.num_rows))
+            document, term, tf, weight = vocabulary.weigh(batch.column(1))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0).take(pa.array(document)),
-                    pa.array(ids[term]),
-                    terms.take(pa.array(term)),
+                    pa.array(vocabulary.ids[term]),
+                    vocabulary.terms.take(pa.array(term)),
                     pa.array(tf.astype("int64")),
-                    pa.array(weight / length[document]),
+                    pa.array(weight),
                 ],
                 [key, "term_id", "term", "tf", "tfidf"],
             )
 
     kind = docs.schema[key].dataType.simpleString()
-    words = docs.select(key, F.coalesce(terms_of(text_of(text_col)), F.array().cast("array<string>")).alias("terms"))
+    words = docs.select(key, term_lists(text_col).alias("terms"))
     return words.mapInArrow(weigh, f"`{key}` {kind}, term_id int, term string, tf long, tfidf double")
 
 
@@ -172,5 +297,5 @@ def build_tfidf(
 
     The vocabulary is written once, as the matrix and its reader both need it.
     """
-    vocab = stored(vocabulary(docs, text_col, max_features, key), "vocabulary")
+    vocab = stored(vocabulary(docs, text_col, max_features), "vocabulary")
     return tfidf(docs, vocab, max_features, text_col, key), vocab

@@ -1,4 +1,6 @@
 import math
+import re
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -111,6 +113,41 @@ def test_vocabulary_cap_and_ties(spark):
     assert [(r.term_id, r.term, r.cf) for r in vocab] == [(0, "aa", 2), (1, "bb", 2), (2, "bb aa", 2)]
 
 
+@pytest.mark.parametrize("ranked", [10_000, 2])
+def test_vocabulary_cut_inside_equal_counts(spark, monkeypatch, ranked):
+    """Most terms occur once, so the cut lies among them, whatever one task may rank."""
+    monkeypatch.setattr(tfidf, "RANKED_TERMS", ranked)
+    texts = ["alpha alphabet alphabets al", "beta alpha gamma", "été étés 日本 日本語 ab", "", None, "alpha beta"]
+    counts, documents = Counter(), Counter()
+    for text in texts:
+        words = re.findall(r"\w{2,}", (text or "").lower())
+        terms = words + [f"{a} {b}" for a, b in zip(words, words[1:])]
+        counts.update(terms)
+        documents.update(set(terms))
+    ordered = sorted(counts, key=lambda t: (-counts[t], t.encode()))
+    df = docs(spark, *texts).repartition(3)
+    for k in (1, 3, 6, 9, 14, len(ordered) - 1, len(ordered), len(ordered) + 1):
+        got = {r.term: (r.cf, r.df) for r in tfidf.vocabulary(df, "t", k).collect()}
+        assert got == {t: (counts[t], documents[t]) for t in ordered[:k]}
+
+
+def test_terms_held_by_a_task_are_bounded(spark, monkeypatch):
+    texts = [" ".join(f"w{(i * 7 + j * j) % 90}" for j in range(40)) for i in range(30)]
+    corpus = docs(spark, *texts).coalesce(1)
+    whole = sorted(map(tuple, tfidf.term_totals(corpus, "t").collect()), key=repr)
+    monkeypatch.setattr(tfidf, "SLICE_WORDS", 50)
+    monkeypatch.setattr(tfidf, "HELD_TERMS", 100)
+    assert sorted(map(tuple, tfidf.term_totals(corpus, "t").collect()), key=repr) == whole
+    frequencies = {r.term: (r.cf, r.df) for r in tfidf.term_frequencies(corpus, "t").collect()}
+    assert {r[0]: r[1:] for r in whole if r[0]} == frequencies
+
+
+def test_vocabulary_has_no_ordered_limit(spark):
+    vocab = tfidf.vocabulary(docs(spark, "cc cc bb aa", "bb aa"), "t", 3)
+    plan = vocab._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrdered" not in plan and "Limit" not in plan
+
+
 def test_transform_drops_unknown_terms(spark):
     vocab = tfidf.vocabulary(docs(spark, "aa bb", "aa"), "t", 10)
     got = tfidf.tfidf(docs(spark, "aa zz", "qq"), vocab, 10, "t").collect()
