@@ -6,6 +6,8 @@ unnested rows), not from the Spark expressions.
 
 from __future__ import annotations
 
+import re
+
 from jobsift import lexicons
 from jobsift.functions.stem import IRREGULAR, STEP2, STEP3, STEP4
 from jobsift.operators.annotate import SYMBOLS, WORD_CLASSES
@@ -686,6 +688,11 @@ ORACLES["m2_test_tfidf"] = with_(
     matrix_cte(),
     select=MATRIX_SELECT,
 )
+ORACLES["m3_m4_certificate"] = with_(
+    *LABEL_CTES, SPLIT,
+    select="""SELECT label_area AS label, count(*) FILTER (NOT is_test) AS n_train, count(*) FILTER (is_test) AS n_test,
+ 0::BIGINT AS n_unequal, true AS proven FROM split GROUP BY label_area""",
+)
 PREDICTIONS = """predictions AS (
  SELECT doc_id, b.area AS y, p.area AS pred FROM best b JOIN best_plain p USING (doc_id))"""
 PREDICTION_CTES = (POSTINGS, SCORES, BEST, BEST_PLAIN, PREDICTIONS)
@@ -767,3 +774,43 @@ ORACLES["a4_top_skill_pairs"] = with_(
  FROM mentions a JOIN mentions b ON a.doc_id = b.doc_id AND a.skill < b.skill
  GROUP BY a.skill, b.skill ORDER BY n DESC, min(a.doc_id), a.skill, b.skill LIMIT 10""",
 )
+
+# ----------------------------------------------------------------------- chain
+
+
+def of_postings(cte: str) -> str:
+    """An annotation statement over postings, beside the statements of the cleaned text."""
+    return re.sub(r"\bwords\b", "annotated_words", re.sub(r"\bdocuments\b", "posting_texts", cte))
+
+
+CHAIN_TEXT = (
+    POSTINGS,
+    tokens_cte("postings", TEXT),
+    LEMMAS,
+    "lemma_words AS (SELECT doc_id, pos, word AS token FROM lemmatized)",
+    *[step.replace("content", "lemma_words") for step in STEM_STEPS],
+    """cleaned AS (
+ SELECT p.doc_id, any_value(p.titulo) AS titulo, coalesce(string_agg(stem, ' ' ORDER BY pos), '') AS text_clean
+ FROM postings p LEFT JOIN stems s ON s.doc_id = p.doc_id GROUP BY p.doc_id)""",
+)
+CHAIN_SUMMARIES = [*COUNTS, *SUMMARIES]
+ORACLES["p1_labeled"] = with_(
+    *CHAIN_TEXT,
+    f"posting_texts AS (SELECT doc_id, {TEXT} AS text FROM postings)",
+    *[of_postings(cte) for cte in (ANNOTATIONS, SIZES, CHUNKS, SPANS, *SUMMARIES.values())],
+    *FEATURES.values(),
+    scores_cte("cleaned", "text_clean"),
+    BEST,
+    select="SELECT doc_id, text_clean, area AS label_area, "
+    + ", ".join(f"coalesce({n}, '') AS {n}" for n in FEATURES) + ", "
+    + ", ".join(f"{COUNTS[n]} AS {n}" if n in COUNTS else f"coalesce({n}.{n}, '') AS {n}" for n in CHAIN_SUMMARIES)
+    + " FROM cleaned JOIN best USING (doc_id) JOIN sizes USING (doc_id) "
+    + " ".join(f"LEFT JOIN {n}_t USING (doc_id)" for n in FEATURES) + " "
+    + " ".join(f"LEFT JOIN {n} USING (doc_id)" for n in SUMMARIES),
+)
+ORACLES["p1_vocabulary"] = with_(
+    *CHAIN_TEXT, terms_cte("cleaned", "text_clean"), vocabulary_cte(5000, "cleaned"),
+    select="SELECT term_id, term, round(idf, 6) AS idf FROM vocab",
+)
+for _key, _of in {"top_skills": "a1_top_skills", "seniority": "a2_seniority", "skill_pairs": "a4_top_skill_pairs"}.items():
+    ORACLES[f"p1_{_key}"] = ORACLES[_of]

@@ -596,6 +596,25 @@ def m3_m4_predictions(spark, sf_dir):
     return predicted
 
 
+@query
+def m3_m4_certificate(spark, sf_dir):
+    """Per label: rows, predictions other than the largest margin, and whether the fit is proven."""
+    rows = stored(split(spark, sf_dir), "split")
+    train, test = rows.filter("not is_test"), rows.filter("is_test")
+    fitted = model.train_classifier(train, TEXT)
+    best = fitted.predict(test).join(model.margins(test, fitted), "doc_id")
+    unequal = best.groupBy(F.col("label_area").alias("label")).agg(F.count_if(F.col("pred") != F.col("best")).alias("n_unequal"))
+    proven = model.certificate(train, fitted).select("label", (F.col("gradient") <= model.GRADIENT_BOUND).alias("proven"))
+    sizes = rows.groupBy(F.col("label_area").alias("label")).agg(
+        F.count_if(~F.col("is_test")).alias("n_train"), F.count_if("is_test").alias("n_test")
+    )
+    return (
+        sizes.join(proven, "label", "left")
+        .join(unequal, "label", "left")
+        .select("label", "n_train", "n_test", F.coalesce("n_unequal", F.lit(0)).alias("n_unequal"), "proven")
+    )
+
+
 def predictions(spark, sf_dir):
     """Full labels against labels from keywords alone."""
     text, title = text_of(TEXT), text_of("titulo")
@@ -667,3 +686,28 @@ def a6_top_posting_skills(spark, sf_dir):
 def p1_end_to_end(spark, sf_dir):
     """Rows per result table of the whole chain."""
     return chain.summary(chain.run(spark, views.postings(spark, sf_dir)))
+
+
+def chain_result(name):
+    """A result of the chain with a lemma table and a gazetteer, and only the stages behind it."""
+
+    def run(spark, sf_dir):
+        postings = views.postings(spark, sf_dir)
+        tokens = stored(postings.select(clean.tokens_of(TEXT).alias("tokens")), "tokens")
+        words = stored(annotate.annotate(postings, TEXT).select("doc_id", "tokens"), "annotations")
+        cfg = chain.Config(lemmas=plural_dictionary(tokens), gazetteer=gazetteer(words))
+        return chain.run(spark, postings, cfg, [name])[name]
+
+    return run
+
+
+@query
+def p1_labeled(spark, sf_dir):
+    rows = chain_result("labeled")(spark, sf_dir)
+    return rows.select("doc_id", "text_clean", "label_area", *FEATURE_COLUMNS, *SUMMARY_COLUMNS)
+
+
+for _name in ("vocabulary", "top_skills", "skill_pairs", "seniority"):
+    _run = chain_result(_name)
+    _run.__name__ = f"p1_{_name}"
+    query(_run)

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
-from pyspark.ml import PipelineModel, Transformer
-from pyspark.ml.classification import LogisticRegression
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.ml import PipelineModel
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import (
     CountVectorizerModel,
     ElementwiseProduct,
@@ -13,17 +17,21 @@ from pyspark.ml.feature import (
     StringIndexer,
 )
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from jobsift import lexicons
 from jobsift.functions.text import text_of
 from jobsift.limits import MAX_BROADCAST_ROWS
-from jobsift.operators.tfidf import terms_of, vocabulary
+from jobsift.operators.tfidf import Weights, term_lists, terms_of, vocabulary
 from jobsift.session import stored
 
 BUCKET_HEX_DIGITS = 4
+# Fixed value: the largest component of the mean loss's gradient at which common solvers stop
+GRADIENT_BOUND = 1e-4
+# Change of the loss at which a fit ends, tried in this order until the gradient is small enough
+TOLERANCES = (1e-6, 1e-8, 1e-10)
 
 
 def split_hash(key: str, seed: int) -> Column:
@@ -111,8 +119,10 @@ class TextClassifier:
 
     features: PipelineModel
     labels: list[str]
-    regression: Transformer | None
+    regression: LogisticRegressionModel | None
     text_col: str
+    penalty: float = 0.0
+    iterations: int = 0
 
     def predict(self, df: DataFrame) -> DataFrame:
         """Append ``pred``; a model that saw one label only predicts it always."""
@@ -124,6 +134,135 @@ class TextClassifier:
             *df.columns, "pred"
         )
 
+    def save(self, path: str) -> None:
+        """Write the parts and, last, what ties them together."""
+        self.features.write().overwrite().save(f"{path}/features")
+        if self.regression is not None:
+            self.regression.write().overwrite().save(f"{path}/regression")
+        spark = SparkSession.active()
+        about = (self.labels, self.regression is not None, self.text_col, self.penalty, self.iterations)
+        spark.createDataFrame([about], _ABOUT).coalesce(1).write.mode("overwrite").parquet(f"{path}/about")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> TextClassifier:
+        about = spark.read.parquet(f"{path}/about").first()
+        regression = LogisticRegressionModel.load(f"{path}/regression") if about["fitted"] else None
+        features = PipelineModel.load(f"{path}/features")
+        return cls(features, list(about["labels"]), regression, about["text_col"], about["penalty"], about["iterations"])
+
+    def linear(self) -> Linear:
+        """The fitted numbers as arrays, at most features times labels of them."""
+        counter, weigh, _ = self.features.stages
+        terms, idf = counter.vocabulary, weigh.getScalingVec().toArray()
+        words = Weights(pa.array(terms, pa.string()), np.arange(len(terms), dtype="int32"), idf)
+        coefficients = self.regression.coefficientMatrix.toArray()
+        intercepts = self.regression.interceptVector.toArray()
+        if len(intercepts) == 1:
+            # two labels have one row of coefficients; the other label's margin is 0
+            coefficients = np.vstack([np.zeros_like(coefficients), coefficients])
+            intercepts = np.array([0.0, intercepts[0]])
+        return Linear(words, coefficients, intercepts)
+
+
+_ABOUT = "labels array<string>, fitted boolean, text_col string, penalty double, iterations int"
+
+
+@dataclass
+class Linear:
+    """Vocabulary, coefficients (label x term) and intercepts."""
+
+    words: Weights
+    coefficients: np.ndarray
+    intercepts: np.ndarray
+
+    def margins(self, lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Margins (document x label), and the weighed terms they are made of."""
+        document, term, _, weight = self.words.weigh(lists)
+        n = len(lists)
+        columns = [np.bincount(document, row[term] * weight, minlength=n) for row in self.coefficients]
+        return np.stack(columns, axis=1) + self.intercepts, document, term, weight
+
+
+def margins(df: DataFrame, classifier: TextClassifier, key: str = "doc_id") -> DataFrame:
+    """(key, margins, best): the margin of each label, from the weighed terms of the text.
+
+    A scan of the texts that uses the fitted numbers only, apart from the library's
+    own transform; ``best`` is the label with the largest margin, the first of equal ones.
+    """
+    shipped = df.sparkSession.sparkContext.broadcast((classifier.linear(), classifier.labels))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        linear, labels = shipped.value
+        names = pa.array(labels, pa.string())
+        for batch in batches:
+            found, *_ = linear.margins(batch.column(1))
+            flat = pa.ListArray.from_arrays(np.arange(len(found) + 1, dtype="int32") * len(labels), found.ravel())
+            best = names.take(pa.array(found.argmax(1)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), flat, best], [key, "margins", "best"])
+
+    kind = df.schema[key].dataType.simpleString()
+    rows = df.select(key, term_lists(classifier.text_col).alias("terms"))
+    return rows.mapInArrow(run, f"`{key}` {kind}, margins array<double>, best string")
+
+
+def certificate(train: DataFrame, classifier: TextClassifier, label_col: str = "label_area") -> DataFrame:
+    """(label, n, gradient): the largest component of the penalised gradient for each label.
+
+    The objective is the mean of the losses plus half the penalty times the squared
+    coefficients.  It is convex, so a small gradient proves that the coefficients are near
+    the best ones, however they were found.  The gradient is summed from the weighed
+    terms of the train rows: every task sends one number per label and term, so nothing
+    shuffles with the rows.  A model of one label has nothing to fit: its gradient is 0.
+    """
+    counts = train.groupBy(F.col(label_col).alias("label")).agg(F.count(F.lit(1)).alias("n"))
+    if classifier.regression is None:
+        return counts.withColumn("gradient", F.lit(0.0))
+    shipped = train.sparkSession.sparkContext.broadcast((classifier.linear(), classifier.labels))
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        linear, labels = shipped.value
+        k, size = linear.coefficients.shape
+        # the intercept is one more term, of weight 1 in every document
+        total, rows = np.zeros((k, size + 1)), 0
+        for batch in batches:
+            found, document, term, weight = linear.margins(batch.column(0))
+            found -= found.max(1, keepdims=True)
+            share = np.exp(found)
+            share /= share.sum(1, keepdims=True)
+            truth = pc.index_in(batch.column(1), value_set=pa.array(labels, pa.string())).to_numpy()
+            share[np.arange(len(share)), truth] -= 1
+            rows += len(share)
+            for label in range(k):
+                total[label, :size] += np.bincount(term, share[document, label] * weight, minlength=size)
+                total[label, size] += share[:, label].sum()
+        label, term = np.indices(total.shape).reshape(2, -1)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(label, pa.int32()), pa.array(term, pa.int32()), pa.array(total.ravel())], ["y", "term_id", "part"]
+        )
+
+    texts = train.select(term_lists(classifier.text_col).alias("terms"), F.col(label_col).alias("label"))
+    parts = texts.mapInArrow(partial, "y int, term_id int, part double")
+    linear = classifier.linear()
+    names = F.array(*[F.lit(label) for label in classifier.labels])
+    penalised = np.hstack([classifier.penalty * linear.coefficients, np.zeros((len(linear.intercepts), 1))])
+    if classifier.regression.coefficientMatrix.numRows == 1:
+        # one row of coefficients stands for both labels, with opposite signs
+        penalised[0] = -penalised[1]
+    y, term = np.indices(penalised.shape).reshape(2, -1)
+    own = train.sparkSession.createDataFrame(
+        pa.table({"y": pa.array(y, pa.int32()), "term_id": pa.array(term, pa.int32()), "own": penalised.ravel()})
+    )
+    component = F.abs(F.col("part") / F.lit(train.count()) + F.col("own"))
+    return (
+        parts.groupBy("y", "term_id")
+        .agg(F.sum("part").alias("part"))
+        .join(own, ["y", "term_id"])
+        .groupBy(F.get(names, F.col("y")).alias("label"))
+        .agg(F.max(component).alias("gradient"))
+        .join(counts, "label")
+        .select("label", "n", "gradient")
+    )
+
 
 def fit_features(
     train: DataFrame, text_col: str, max_features: int, key: str = "doc_id"
@@ -159,8 +298,12 @@ def train_classifier(
     max_features: int = lexicons.MODEL_MAX_FEATURES,
     max_iter: int = lexicons.MODEL_MAX_ITER,
     inverse_penalty: float = 1.0,
+    gradient_bound: float = GRADIENT_BOUND,
 ) -> TextClassifier:
-    """Fit on the train rows; L2 penalty of a loss summed over rows with weight C."""
+    """Fit on the train rows; L2 penalty of a loss summed over rows with weight C.
+
+    A fit that ended with too large a gradient is done again with a smaller tolerance.
+    """
     features = fit_features(train, text_col, max_features, key)
     indexer = StringIndexer(
         inputCol=label_col, outputCol="_y", stringOrderType="alphabetAsc"
@@ -171,17 +314,27 @@ def train_classifier(
     vectors = indexer.transform(featurize(train, text_col, features)).select("features", "_y")
     # every iteration reads these, so they are written once
     rows = stored(vectors, "train-features")
-    regression = LogisticRegression(
-        featuresCol="features",
-        labelCol="_y",
-        maxIter=max_iter,
-        elasticNetParam=0.0,
-        regParam=1.0 / (inverse_penalty * rows.count()),
-        standardization=False,
-        tol=1e-6,
-        aggregationDepth=3,
-    ).fit(rows)
-    return TextClassifier(features, labels, regression, text_col)
+    penalty = 1.0 / (inverse_penalty * rows.count())
+    for tolerance in TOLERANCES:
+        regression = LogisticRegression(
+            featuresCol="features",
+            labelCol="_y",
+            maxIter=max_iter,
+            elasticNetParam=0.0,
+            regParam=penalty,
+            standardization=False,
+            tol=tolerance,
+            aggregationDepth=3,
+        ).fit(rows)
+        iterations = regression.summary.totalIterations
+        fitted = TextClassifier(features, labels, regression, text_col, penalty, iterations)
+        if iterations >= max_iter or largest_gradient(train, fitted, label_col) <= gradient_bound:
+            break
+    return fitted
+
+
+def largest_gradient(train: DataFrame, classifier: TextClassifier, label_col: str = "label_area") -> float:
+    return certificate(train, classifier, label_col).agg(F.max("gradient")).first()[0]
 
 
 def evaluate(

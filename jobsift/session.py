@@ -7,6 +7,9 @@ import re
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -46,9 +49,35 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+_scratch: ContextVar[str | None] = ContextVar("jobsift_scratch", default=None)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared folder."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/jobsift/{name}-{uuid.uuid4().hex}"
+    """A fresh path under the shared folder, or under the work folder of a stage."""
+    folder = _scratch.get() or f"{checkpoint_dir(spark).rstrip('/')}/jobsift"
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
+
+
+def file_system(spark: SparkSession, path: str):
+    """The store of a path, as Spark sees it, and the path in it."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark._jsc.hadoopConfiguration()), found
+
+
+@contextmanager
+def scratch_folder(spark: SparkSession, folder: str) -> Iterator[None]:
+    """Hand-over tables lie in ``folder`` meanwhile; it is removed before and after.
+
+    What is read from them must have been used up, or written elsewhere, by the end.
+    """
+    fs, path = file_system(spark, folder)
+    fs.delete(path, True)
+    token = _scratch.set(folder)
+    try:
+        yield
+    finally:
+        _scratch.reset(token)
+        fs.delete(path, True)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

@@ -1,5 +1,6 @@
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -157,3 +158,65 @@ def test_vectors_equal_the_long_table(spark, sf_dir):
             vectors[(row.doc_id, int(i))] = float(v)
     assert vectors.keys() == long.keys()
     assert all(vectors[k] == pytest.approx(long[k]) for k in long)
+
+
+def noisy(spark, labels, n=60):
+    words = {"A": "etl spark lake", "B": "bug test lake", "C": "figma sketch test"}
+    rows = [(i, f"{words[labels[i % len(labels)]]} w{i % 7} w{i % 5}", labels[(i + i // 9) % len(labels)]) for i in range(n)]
+    return spark.createDataFrame(rows, "doc_id long, t string, label_area string")
+
+
+@pytest.mark.parametrize("labels", ["AB", "ABC"])
+def test_certificate_is_the_gradient(spark, labels):
+    """Against differences of the objective, and large for coefficients that are not the best."""
+    df = noisy(spark, labels).repartition(3)
+    fitted = model.train_classifier(df, "t", max_features=20, max_iter=200)
+    proven = {r.label: r.gradient for r in model.certificate(df, fitted).collect()}
+    assert set(proven) == set(labels) and max(proven.values()) <= model.GRADIENT_BOUND
+    short = model.train_classifier(df, "t", max_features=20, max_iter=1)
+    gradients = {r.label: r.gradient for r in model.certificate(df, short).collect()}
+    assert max(gradients.values()) > 10 * model.GRADIENT_BOUND
+
+    vectors = model.featurize(df, "t", short.features).select("features", "label_area").collect()
+    x = np.array([r.features.toArray() for r in vectors])
+    y = np.array([short.labels.index(r.label_area) for r in vectors])
+    w, b = short.regression.coefficientMatrix.toArray().copy(), short.regression.interceptVector.toArray().copy()
+
+    def objective(w, b):
+        margins = x @ w.T + b
+        if len(labels) == 2:
+            margins = np.hstack([np.zeros_like(margins), margins])
+        loss = np.log(np.exp(margins).sum(1)) - margins[np.arange(len(y)), y]
+        return loss.mean() + short.penalty / 2 * (w**2).sum()
+
+    for k in range(len(w)):
+        slopes = []
+        for j in range(w.shape[1]):
+            step = np.zeros_like(w)
+            step[k, j] = 1e-5
+            slopes.append(abs(objective(w + step, b) - objective(w - step, b)) / 2e-5)
+        step = np.zeros_like(b)
+        step[k] = 1e-5
+        slopes.append(abs(objective(w, b + step) - objective(w, b - step)) / 2e-5)
+        assert max(slopes) == pytest.approx(gradients[short.labels[k]], rel=1e-4)
+
+
+def test_fit_is_repeated_until_proven(spark, monkeypatch):
+    df = noisy(spark, "ABC")
+    monkeypatch.setattr(model, "TOLERANCES", (0.5, 1e-8))
+    assert model.largest_gradient(df, model.train_classifier(df, "t", max_features=20, max_iter=200)) <= model.GRADIENT_BOUND
+
+
+def test_saved_model_predicts_the_same(spark, tmp_path):
+    df = noisy(spark, "ABC")
+    fitted = model.train_classifier(df, "t", max_features=20, max_iter=50)
+    fitted.save(str(tmp_path / "m"))
+    again = model.TextClassifier.load(spark, str(tmp_path / "m"))
+    assert (again.labels, again.penalty, again.iterations) == (fitted.labels, fitted.penalty, fitted.iterations)
+    assert again.predict(df).orderBy("doc_id").collect() == fitted.predict(df).orderBy("doc_id").collect()
+    best = model.margins(df, again).join(again.predict(df), "doc_id")
+    assert best.filter("best <> pred").isEmpty()
+    one = model.train_classifier(df.filter("label_area = 'A'"), "t", max_features=5)
+    one.save(str(tmp_path / "one"))
+    assert {r.pred for r in model.TextClassifier.load(spark, str(tmp_path / "one")).predict(df).collect()} == {"A"}
+    assert [r.gradient for r in model.certificate(df.filter("label_area = 'A'"), one).collect()] == [0.0]
