@@ -11,7 +11,7 @@ import re
 from jobsift import lexicons
 from jobsift.functions.stem import IRREGULAR, STEP2, STEP3, STEP4
 from jobsift.operators.annotate import SYMBOLS, WORD_CLASSES
-from jobsift.plans.views import JOB_PAGES_SQL, LISTING_SQL, POSTINGS_SQL
+from jobsift.plans.views import COLLECTED_LISTING_SQL, COLLECTED_PAGES_SQL, JOB_PAGES_SQL, LISTING_SQL, POSTINGS_SQL
 
 TEXT = "descricao_texto"
 DOMAIN = "https://jobs.example.com"
@@ -40,6 +40,7 @@ ORACLES["s1_s3_csv_round_trip"] = with_(
     POSTINGS,
     select=f"SELECT doc_id, nullif(titulo, '') AS titulo, nullif({TEXT}, '') AS {TEXT} FROM postings",
 )
+ORACLES["s1_split_csv"] = ORACLES["s1_s3_csv_round_trip"]
 ORACLES["s1_reference_layout"] = with_(
     POSTINGS,
     select=f"""SELECT 'https://jobs.example/' || doc_id AS link, nullif(titulo, '') AS titulo, nullif({TEXT}, '') AS {TEXT},
@@ -182,6 +183,22 @@ ORACLES["s4_raw_postings_sink"] = with_(
  nullif(data_publicacao, '') AS data_publicacao, nullif({TEXT}, '') AS {TEXT}, url AS link,
  'Stored pages' AS origem, '2024-01-31' AS data_coleta FROM posting_rows""",
 )
+ORACLES["w_collect_postings"] = with_(
+    f"listing AS ({COLLECTED_LISTING_SQL})",
+    HREFS.replace("FROM pages)", "FROM listing)"),
+    LINKS.replace("starts_with(href, '/')", "starts_with(href, '/remote-jobs/')", 2).replace(
+        "WHEN starts_with(href, '/remote-jobs/') THEN", "WHEN starts_with(href, '/') THEN"
+    ),
+    PAGES_READ.replace("n_links < 5", "n_links < 5 AND html IS NOT NULL").replace(
+        "SELECT cat_order, page, page_id, (SELECT", "SELECT cat_order, page, page_id, html, (SELECT"
+    ),
+    f"first_seen AS ({FIRST_SEEN.format(source='pages_read')})",
+    f"job_pages AS (SELECT * FROM ({COLLECTED_PAGES_SQL}) WHERE url IN (SELECT url FROM first_seen))",
+    JOBS,
+    POSTING_ROWS,
+    select=f"""SELECT page_id AS doc_id, titulo, empresa, tipo_emprego, localizacao, data_publicacao,
+ {TEXT}, url AS link, 'Stored pages' AS origem, '2024-01-31' AS data_coleta FROM posting_rows""",
+)
 SOURCES = ", ".join(f"({i}, {quoted(u)})" for i, u in enumerate(lexicons.CATEGORY_URLS))
 ORACLES["w11_source_list"] = with_(
     LISTING,
@@ -593,6 +610,7 @@ for _key, _names in {
 ORACLES["n12_gazetteer_spans"] = with_(
     ANNOTATIONS, SPANS, select="SELECT doc_id, pos, text, label FROM spans"
 )
+ORACLES["n12_spans_joined"] = ORACLES["n12_gazetteer_spans"]
 
 # ------------------------------------------------------- labels, model, metrics
 

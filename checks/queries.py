@@ -105,6 +105,15 @@ def s1_reference_layout(spark, sf_dir):
     return read.select("link", "titulo", TEXT, "empresa", "extra", same_key.alias("rows_of_key"))
 
 
+@query
+def s1_split_csv(spark, sf_dir):
+    """One file with line breaks inside fields, read by several tasks."""
+    path = scratch_path(spark, "split")
+    postings = views.postings(spark, sf_dir)
+    sinks.write_csv(postings.coalesce(1), path)
+    return tables.read_postings_csv(spark, path, postings.schema, split=True, split_bytes=256 << 10)
+
+
 @query
 def s4_raw_postings_sink(spark, sf_dir):
     path = scratch_path(spark, "raw")
@@ -230,6 +239,13 @@ def w10_postings(spark, sf_dir):
     return web.assemble_postings(views.job_pages(spark, sf_dir), RUN_DATE, SOURCE)
 
 
+@query
+def w_collect_postings(spark, sf_dir):
+    """From listing pages to postings, with failed listing and detail pages."""
+    listing, details = views.collected_listing(spark, sf_dir), views.collected_pages(spark, sf_dir)
+    return web.collect_postings(listing, details, RUN_DATE, MAX_JOBS, LISTING_PAGES, DOMAIN, "/remote-jobs/", SOURCE)
+
+
 @query
 def w11_source_list(spark, sf_dir):
     """Stored listing pages of each default source."""
@@ -507,6 +523,15 @@ def n12_gazetteer_spans(spark, sf_dir):
     return annotate.span_rows(annotated(spark, sf_dir, True)).filter("kind = 'ENT'").drop("kind")
 
 
+@query
+def n12_spans_joined(spark, sf_dir):
+    """The same spans by the distributed join."""
+    kept = stored(annotated(spark, sf_dir), "annotations")
+    entries = annotate.one_label_per_surface(gazetteer(kept))
+    found = annotate.entities_by_join(kept, entries)
+    return annotate.span_rows(found).filter("kind = 'ENT'").drop("kind")
+
+
 SUMMARY_COLUMNS = [
     "spacy_sentences", "spacy_tokens", "spacy_top_lemmas", "spacy_orgs", "spacy_places",
     "adv_tokens", "adv_sentences", "adv_tokens_per_sentence", "adv_top_pos",
@@ -516,7 +541,9 @@ SUMMARY_COLUMNS = [
 
 @query
 def n13_summaries(spark, sf_dir):
-    return annotate.summarize(annotated(spark, sf_dir, True)).select("doc_id", *SUMMARY_COLUMNS)
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    names = gazetteer(annotate.annotate(docs, "text").select("tokens"))
+    return annotate.summarize_text(docs, "text", names).select("doc_id", *SUMMARY_COLUMNS)
 
 
 # ------------------------------------------------------- labels, model, metrics
@@ -617,11 +644,11 @@ def m3_m4_certificate(spark, sf_dir):
 
 def predictions(spark, sf_dir):
     """Full labels against labels from keywords alone."""
-    text, title = text_of(TEXT), text_of("titulo")
-    return views.postings(spark, sf_dir).select(
+    text, title, points = text_of(TEXT), text_of("titulo"), F.col("points")
+    return views.postings(spark, sf_dir).withColumn("points", label.area_points(text)).select(
         "doc_id",
-        label.best_area(label.area_scores(text, title)).alias("y"),
-        label.best_area(label.area_scores(text, title, boost=0)).alias("pred"),
+        label.best_area(label.area_scores(text, title, points=points)).alias("y"),
+        label.best_area(label.area_scores(text, title, boost=0, points=points)).alias("pred"),
     )
 
 

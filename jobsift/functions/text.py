@@ -34,12 +34,6 @@ def find_all_if(value: Column, hint: Column, pattern: str) -> Column:
     return F.coalesce(F.when(hint, find_all(value, pattern)), F.array().cast("array<string>"))
 
 
-def words_present(lowered: Column, words: Sequence[str]) -> Column:
-    """The words contained as substrings in lower-cased text, in list order."""
-    listed = F.array(*[F.lit(w) for w in words])
-    return let(lowered, lambda text: F.filter(listed, lambda w: F.contains(text, w)))
-
-
 def joined(values: Column) -> Column:
     return F.array_join(values, ", ")
 

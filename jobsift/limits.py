@@ -5,9 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from jobsift.session import stored
+
 # Rows of a two-string dictionary that are safe in every executor (some tens of MB).
 MAX_BROADCAST_ROWS = 200_000
-SALTS = 16
+# Parts of the facts that a task of a join gets: a key with more than one is spread.
+PARTS_PER_TASK = 8
+# Parts over which facts without a key are spread, as they meet nothing.
+NULL_PARTS = 1 << 16
 
 
 def small_rows(df: DataFrame, limit: int = MAX_BROADCAST_ROWS) -> list | None:
@@ -30,11 +35,35 @@ def lookup_join(
     """Join facts to a table that has one row per key.
 
     A table proven to have at most ``MAX_BROADCAST_ROWS`` rows is broadcast.
-    A larger one is shuffled, and the facts are spread over ``SALTS`` parts per
-    key first, so a key that holds a third of all facts is not one task's work.
+    A larger one is shuffled, after it is reduced to the keys that occur.
     """
     if table_rows is not None and table_rows <= MAX_BROADCAST_ROWS:
         return facts.join(F.broadcast(table), key, how)
-    salted = facts.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int"))
-    copies = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return salted.join(copies, [key, "_salt"], how).drop("_salt")
+    return spread_join(facts, table, key, spread, how)
+
+
+def spread_join(
+    facts: DataFrame, table: DataFrame, key: str, spread: Column, how: str = "inner"
+) -> DataFrame:
+    """A shuffled join in which a heavy key has as many copies as its facts need tasks.
+
+    The facts are counted per key.  A part is the share of the facts that a task
+    should get, divided by ``PARTS_PER_TASK``; a key with more facts than one part is
+    spread over just enough copies of its row, and all others have one.  At most as
+    many keys as there are parts can be heavy, so their list is small by construction.
+    """
+    counts = stored(facts.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n")), "key-counts")
+    total = counts.agg(F.sum("_n")).first()[0] or 0
+    tasks = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    part = max(total / (PARTS_PER_TASK * tasks), 1)
+    heavy = F.broadcast(counts.filter(F.col("_n") > part).select(key, F.ceil(F.col("_n") / part).cast("int").alias("_copies")))
+    copies = F.coalesce("_copies", F.lit(1))
+    hashed = F.xxhash64(spread)
+    salted = (
+        facts.join(heavy, key, "left")
+        .withColumn("_salt", F.pmod(hashed, F.when(F.col(key).isNull(), NULL_PARTS).otherwise(copies)).cast("int"))
+        .drop("_copies")
+    )
+    occurring = table.join(counts.select(key), key, "left_semi").join(heavy, key, "left")
+    spread_rows = occurring.withColumn("_salt", F.explode(F.sequence(F.lit(0), copies - 1))).drop("_copies")
+    return salted.join(spread_rows, [key, "_salt"], how).drop("_salt")

@@ -10,6 +10,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,6 +19,7 @@ from jobsift import lexicons
 from jobsift.functions.arrays import let, most_common, one_row_per_item
 from jobsift.functions.text import joined, strip, text_of
 from jobsift.limits import lookup_join, small_rows
+from jobsift.operators.summaries import Lexicon, Trie, spans, summarise
 from jobsift.session import stored
 from jobsift.sources.tables import require_columns
 
@@ -66,6 +68,13 @@ def _word_class(word: Column, lowered: Column, first: Column) -> Column:
     )
 
 
+def sentence_words(text: Column) -> Column:
+    """array<array<string>>: words and punctuation marks of each sentence of a text."""
+    marked = F.regexp_replace(text, r"([.!?])\s+", "$1\u0001")
+    sentences = F.filter(F.split(marked, "\u0001"), lambda s: s.rlike(r"\S"))
+    return F.transform(sentences, lambda s: F.regexp_extract_all(s, F.lit(r"(?U)\w+|[^\w\s]"), F.lit(0)))
+
+
 def rule_tokens(text: Column, stop_words: Sequence[str] | None = None) -> Column:
     """Words and punctuation marks of a text; sentences end at ``.``, ``!``, ``?``."""
     stops = lexicons.ENGLISH_STOP_WORDS if stop_words is None else list(stop_words)
@@ -152,8 +161,8 @@ def add_gazetteer_spans(df: DataFrame, gazetteer: DataFrame, key: str = "doc_id"
     entries = one_label_per_surface(gazetteer)
     rows = small_rows(entries)
     if rows is None:
-        return _joined_entities(df, entries, key)
-    shipped = df.sparkSession.sparkContext.broadcast({r["surface"]: r["label"] for r in rows})
+        return entities_by_join(df, entries)
+    shipped = df.sparkSession.sparkContext.broadcast(Trie.of([(r["surface"], r["label"]) for r in rows]))
     found = _shipped_entities(F.col("tokens"), shipped)
     # the lookup counts array elements, the annotator may number tokens its own way
     placed = F.transform(
@@ -167,24 +176,16 @@ def _shipped_entities(tokens: Column, shipped) -> Column:
 
     @F.arrow_udf(SPANS_TYPE)
     def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        labels = shipped.value
-        longest: dict[str, int] = {}
-        for surface in labels:
-            words = surface.split(" ")
-            longest[words[0]] = max(longest.get(words[0], 0), len(words))
-        for texts, sentences in batches:
-            out = []
-            for words, sents in zip(texts.to_pylist(), sentences.to_pylist()):
-                spans = []
-                for i, word in enumerate(words):
-                    for n in range(1, longest.get(word, 0) + 1):
-                        if i + n > len(words) or sents[i + n - 1] != sents[i]:
-                            break
-                        surface = " ".join(words[i : i + n])
-                        if surface in labels:
-                            spans.append((i, "ENT", surface, labels[surface]))
-                out.append([dict(zip(("pos", "kind", "text", "label"), s)) for s in spans])
-            yield pa.array(out, span_type)
+        trie = shipped.value
+        for texts, sents in batches:
+            document, place, entry = spans(texts, sents, trie)
+            offsets = np.zeros(len(texts) + 1, np.int32)
+            np.cumsum(np.bincount(document, minlength=len(texts)), out=offsets[1:])
+            kinds = pa.array(["ENT"] * len(entry), pa.string())
+            taken = pa.array(entry)
+            items = [pa.array(place, pa.int32()), kinds, trie.surfaces.take(taken), trie.labels.take(taken)]
+            flat = pa.StructArray.from_arrays(items, fields=list(span_type.value_type))
+            yield pa.ListArray.from_arrays(pa.array(offsets), flat)
 
     # marked so that a filter derived from a later explode does not run it again
     return run.asNondeterministic()(
@@ -192,50 +193,61 @@ def _shipped_entities(tokens: Column, shipped) -> Column:
     )
 
 
-def _word_runs(tokens: Column, longest: int) -> Column:
-    """array<struct<pos, surface>>: runs of 1 to ``longest`` words of one sentence."""
+def _word_runs(tokens: Column, longest: Column) -> Column:
+    """array<struct<pos, surface>>: runs of words of one sentence behind the first words of entries.
+
+    ``longest`` maps a first word to the number of words of its longest entry; no run is
+    longer, and other words begin none.
+    """
 
     def over_tokens(t: Column) -> Column:
-        last = F.size(t) - 1
-        sizes = F.sequence(F.lit(1), F.lit(longest))
+        starts = F.filter(
+            F.transform(
+                t, lambda w, i: F.struct(i.alias("i"), F.try_element_at(longest, w["text"]).alias("n"))
+            ),
+            lambda s: s["n"].isNotNull(),
+        )
         runs = F.flatten(
             F.transform(
-                F.sequence(F.lit(0), last),
-                lambda i: F.transform(
+                starts,
+                lambda s: F.transform(
                     F.filter(
-                        sizes,
-                        lambda n: F.get(t, i + n - 1)["sent"] == F.get(t, i)["sent"],
+                        F.sequence(F.lit(1), s["n"]),
+                        lambda n: F.get(t, s["i"] + n - 1)["sent"] == F.get(t, s["i"])["sent"],
                     ),
                     lambda n: F.struct(
-                        F.get(t, i)["pos"].alias("pos"),
+                        F.get(t, s["i"])["pos"].alias("pos"),
                         F.array_join(
-                            F.transform(F.slice(t, i + 1, n), lambda x: x["text"]), " "
+                            F.transform(F.slice(t, s["i"] + 1, n), lambda x: x["text"]), " "
                         ).alias("surface"),
                     ),
                 ),
             )
         )
-        return F.when(F.size(t) > 0, runs)
+        return F.when(F.size(starts) > 0, runs)
 
     return let(tokens, over_tokens)
 
 
-def _joined_entities(df: DataFrame, entries: DataFrame, key: str) -> DataFrame:
+def entities_by_join(df: DataFrame, entries: DataFrame) -> DataFrame:
     """Spans by a distributed join, for gazetteers of any size.
 
-    Annotations and gazetteer are both read more than once, so they are written
-    once instead of being computed again.  Rows are told apart by an id written
-    with them, so null and repeated keys are kept as they are.
+    The distinct words of each row meet the first words of the entries; only behind those
+    that are found does a row list runs of words, up to the longest entry of that first
+    word, and these meet the entries.  Annotations and gazetteer are both read more than
+    once, so they are written once instead of being computed again.  Rows are told apart by
+    an id written with them, so null and repeated keys are kept as they are.
     """
     annotated = stored(df.withColumn("_row", F.monotonically_increasing_id()), "annotated")
     table = stored(entries, "gazetteer")
-    size = table.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.coalesce(F.max(F.size(F.split("surface", " "))), F.lit(1)).alias("longest"),
-    ).first()
-    all_runs = _word_runs(F.col("tokens"), size["longest"])
-    runs = one_row_per_item(annotated, all_runs, "r", "_row").select("_row", "r.*")
-    found = lookup_join(runs, table, "surface", F.struct("_row", "pos"), table_rows=size["n"])
+    words = F.split("surface", " ")
+    firsts = table.groupBy(F.get(words, F.lit(0)).alias("first")).agg(F.max(F.size(words)).alias("longest"))
+    distinct = F.array_distinct(F.transform("tokens", lambda t: t["text"]))
+    begun = lookup_join(one_row_per_item(annotated, distinct, "first", "_row"), firsts, "first", F.col("_row"))
+    longest = begun.groupBy("_row").agg(F.map_from_entries(F.collect_list(F.struct("first", "longest"))).alias("_longest"))
+    hopeful = annotated.select("_row", "tokens").join(longest, "_row")
+    runs = one_row_per_item(hopeful, _word_runs(F.col("tokens"), F.col("_longest")), "r", "_row").select("_row", "r.*")
+    found = lookup_join(runs, table, "surface", F.struct("_row", "pos"))
     entities_of = found.groupBy("_row").agg(
         F.sort_array(
             F.collect_list(
@@ -428,3 +440,48 @@ def summarize(annotated: DataFrame, basic: bool = True, advanced: bool = True) -
     if advanced:
         columns |= advanced_summary()
     return annotated.withColumns(columns).drop("tokens", "spans")
+
+
+SUMMARY_TYPE = (
+    "spacy_sentences int, spacy_tokens int, spacy_top_lemmas string, spacy_orgs string, spacy_places string, "
+    "adv_tokens int, adv_sentences int, adv_tokens_per_sentence double, adv_top_pos string, "
+    "adv_top_noun_chunks string, adv_orgs string, adv_places string, adv_other_ents string"
+)
+
+
+def summarize_text(
+    df: DataFrame,
+    text_col: str = TEXT_COL,
+    gazetteer: DataFrame | None = None,
+    stop_words: Sequence[str] | None = None,
+    key: str = "doc_id",
+) -> DataFrame:
+    """Append the summary columns of the built-in rules without keeping the annotations.
+
+    Only the words of the sentences leave the JVM, and only the summaries come back.  A
+    gazetteer too large to travel with the tasks takes the way of ``annotate``, with
+    equal results.
+    """
+    require_columns(df, text_col)
+    trie = None
+    if gazetteer is not None:
+        entries = one_label_per_surface(gazetteer)
+        rows = small_rows(entries)
+        if rows is None:
+            return summarize(entities_by_join(annotate(df, text_col), entries))
+        trie = Trie.of([(r["surface"], r["label"]) for r in rows])
+    shipped = df.sparkSession.sparkContext.broadcast(trie)
+    stops = lexicons.ENGLISH_STOP_WORDS if stop_words is None else list(stop_words)
+    names = [field.split(" ")[0] for field in SUMMARY_TYPE.split(", ")]
+
+    @F.arrow_udf(SUMMARY_TYPE)
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        lexicon, found = Lexicon(WORD_CLASSES, SYMBOLS, stops), shipped.value
+        for sentences in batches:
+            columns = summarise(sentences, lexicon, found)
+            yield pa.StructArray.from_arrays([columns[n] for n in names], names)
+
+    done = df.withColumn("_summary", run(sentence_words(text_of(text_col))))
+    columns = {n: F.col(f"_summary.{n}") for n in names}
+    columns["adv_tokens_per_sentence"] = F.round("_summary.adv_tokens_per_sentence", 2)
+    return done.withColumns(columns).drop("_summary")

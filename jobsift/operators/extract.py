@@ -6,13 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jobsift import lexicons
-from jobsift.functions.text import (
-    find_all,
-    find_all_if,
-    joined,
-    text_of,
-    words_present,
-)
+from jobsift.functions.keywords import words_contained
+from jobsift.functions.text import find_all, find_all_if, joined, text_of
 from jobsift.sources.tables import require_columns
 
 TEXT_COL = "descricao_texto"
@@ -48,7 +43,7 @@ def emails(text: Column) -> Column:
 
 
 def skills(text: Column, words: list[str] | None = None) -> Column:
-    return words_present(F.lower(text), words or lexicons.POSTING_SKILLS)
+    return words_contained(F.lower(text), words or lexicons.POSTING_SKILLS)
 
 
 def feature_arrays(text: Column) -> dict[str, Column]:

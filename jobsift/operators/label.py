@@ -9,25 +9,16 @@ from pyspark.sql import functions as F
 
 from jobsift import lexicons
 from jobsift.functions.arrays import let
+from jobsift.functions.keywords import weights_contained
 from jobsift.functions.text import text_of
 from jobsift.sources.tables import require_columns
 
 Keywords = Mapping[str, Mapping[int, list[str]]]
 
 
-def keyword_score(lowered: Column, weighted: Mapping[int, list[str]]) -> Column:
-    """Sum of the weights of the keywords the text contains (presence, not count)."""
-    parts = [
-        F.size(
-            F.filter(F.array(*[F.lit(w) for w in words]), lambda w: F.contains(lowered, w))
-        )
-        * weight
-        for weight, words in weighted.items()
-    ]
-    total = parts[0]
-    for part in parts[1:]:
-        total = total + part
-    return total
+def area_points(text: Column, keywords: Keywords = lexicons.AREA_KEYWORDS) -> Column:
+    """array<int>: per area the weights of its keywords that the text contains (presence, not count)."""
+    return weights_contained(F.lower(text), list(keywords.values()))
 
 
 def title_boost(lowered: Column, title: Column, pattern: str, boost: int) -> Column:
@@ -43,14 +34,18 @@ def area_scores(
     keywords: Keywords = lexicons.AREA_KEYWORDS,
     titles: Mapping[str, str] = lexicons.TITLE_PATTERNS,
     boost: int = lexicons.TITLE_BOOST,
+    points: Column | None = None,
 ) -> Column:
-    """array<struct<score, rank, label>>, one entry per area."""
-    lowered_title = F.lower(title)
+    """array<struct<score, rank, label>>, one entry per area.
 
-    def scores(lowered: Column) -> Column:
+    ``points`` are the area points of the text where they are known already.
+    """
+    lowered, lowered_title = F.lower(text), F.lower(title)
+
+    def scores(found: Column) -> Column:
         entries = []
-        for rank, (label, weighted) in enumerate(keywords.items()):
-            score = keyword_score(lowered, weighted)
+        for rank, label in enumerate(keywords):
+            score = F.get(found, F.lit(rank))
             if boost and label in titles:
                 score = score + title_boost(lowered, lowered_title, titles[label], boost)
             entries.append(
@@ -60,7 +55,7 @@ def area_scores(
             )
         return F.array(*entries)
 
-    return let(F.lower(text), scores)
+    return let(area_points(text, keywords) if points is None else points, scores)
 
 
 def best_area(scores: Column) -> Column:

@@ -10,7 +10,8 @@ from pyspark.sql import types as T
 
 from jobsift import lexicons
 from jobsift.functions.arrays import one_row_per_item
-from jobsift.functions.text import text_of, words_present
+from jobsift.functions.keywords import words_contained
+from jobsift.functions.text import text_of
 from jobsift.operators import metrics
 
 
@@ -31,7 +32,7 @@ def skill_counts(
 
     The map side reduces to at most one row per skill and task.
     """
-    present = words_present(F.lower(text_of(text_col)), skills)
+    present = words_contained(F.lower(text_of(text_col)), skills)
     mentions = one_row_per_item(df, present, "skill", key)
     rank = F.array_position(F.array(*[F.lit(s) for s in skills]), F.col("skill"))
     counted = mentions.groupBy("skill").agg(
@@ -82,7 +83,7 @@ def skill_pair_counts(
     Documents are counted per combination of skills first, so the pairs of a
     combination are listed once however many documents share it.
     """
-    present = F.sort_array(words_present(F.lower(text_of(text_col)), skills))
+    present = F.sort_array(words_contained(F.lower(text_of(text_col)), skills))
     # no filter on the size: it would be moved below and look for the skills twice
     combinations = (
         df.select(key, present.alias("skills"))

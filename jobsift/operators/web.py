@@ -14,7 +14,6 @@ from jobsift.functions.html import (
     text_from_html,
 )
 from jobsift.functions.arrays import let, one_row_per_item
-from jobsift.limits import MAX_BROADCAST_ROWS
 from jobsift.session import stored
 
 JOB_SCHEMA = (
@@ -24,6 +23,8 @@ JOB_SCHEMA = (
 ADDRESS_SCHEMA = "struct<addressLocality:string,addressRegion:string,addressCountry:string>"
 STRICT_JSON = {"allowSingleQuotes": "false"}
 CATEGORIES_PER_CHUNK = 1024
+# Words of 64 bits in the filter of wanted URLs: two megabytes with their places.
+FILTER_WORDS = 1 << 17
 
 
 def absolute_url(href: Column, domain: str = lexicons.SITE_DOMAIN) -> Column:
@@ -243,6 +244,33 @@ def assemble_postings(
     )
 
 
+def _bits(url: str) -> list[Column]:
+    """Place and bits of a URL in the filter: three bits of one of its words."""
+    hashed = F.xxhash64(url)
+    bits = [F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.shiftright(hashed, n), F.lit(64)).cast("int")) for n in (20, 32, 44)]
+    return [
+        F.pmod(hashed, F.lit(FILTER_WORDS)).alias("_word"),
+        bits[0].bitwiseOR(bits[1]).bitwiseOR(bits[2]).alias("_bits"),
+    ]
+
+
+def wanted_pages(pages: DataFrame, urls: DataFrame) -> DataFrame:
+    """The pages of the wanted URLs, whatever their number.
+
+    A Bloom filter of fixed size, summed from the URLs by the cluster, is joined to the pages
+    first: it is small by construction, and most pages that nobody wants go
+    before they are moved or parsed.  The exact join takes the few that it lets through.
+    """
+    words = urls.select(*_bits("url")).groupBy("_word").agg(F.bit_or("_bits").alias("_filter"))
+    hopeful = (
+        pages.select(*pages.columns, *_bits("url"))
+        .join(F.broadcast(words), "_word")
+        .filter(F.col("_filter").bitwiseAND(F.col("_bits")) == F.col("_bits"))
+        .select(*pages.columns)
+    )
+    return hopeful.join(urls.select("url").distinct(), "url")
+
+
 def collect_postings(
     listing: DataFrame,
     pages: DataFrame,
@@ -255,9 +283,8 @@ def collect_postings(
 ) -> DataFrame:
     """Whole collection: listing pages to URLs to stored pages to postings.
 
-    The URL list is capped by ``max_jobs``; it is broadcast while that cap is a
-    safe size, so only wanted pages are parsed and no page is shuffled.
+    Listing and detail pages that failed (null html) are skipped.  The wanted URLs are
+    written once, as the filter and the join both read them.
     """
-    urls = frontier(listing, max_jobs, pages_per_category, domain, prefix).select("url")
-    wanted = F.broadcast(urls) if max_jobs <= MAX_BROADCAST_ROWS else urls
-    return assemble_postings(pages.join(wanted, "url"), run_date, source)
+    urls = stored(frontier(listing, max_jobs, pages_per_category, domain, prefix).select("url"), "wanted-urls")
+    return assemble_postings(wanted_pages(pages, urls), run_date, source)

@@ -39,8 +39,11 @@ def enrich(postings: DataFrame, cfg: Config) -> DataFrame:
     One pass over the text; annotated once for both summaries.
     """
     features = extract.extract_features(postings, cfg.text_col)
-    annotated = annotate.annotate(features, cfg.text_col, cfg.annotator, cfg.gazetteer)
-    summarized = annotate.summarize(annotated)
+    if cfg.annotator is None:
+        summarized = annotate.summarize_text(features, cfg.text_col, cfg.gazetteer)
+    else:
+        annotated = annotate.annotate(features, cfg.text_col, cfg.annotator, cfg.gazetteer)
+        summarized = annotate.summarize(annotated)
     return clean.clean_text(summarized, cfg.text_col, cfg.lemmas)
 
 

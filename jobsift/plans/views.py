@@ -47,6 +47,20 @@ SELECT page_id, cast(page_id % 4 as int) AS cat_order,
  cast(floor(page_id / 4) + 1 as int) AS page, html FROM pages
 """
 
+_LINK = """'<a href="/remote-jobs/', page_id + {0}, '">job</a>'"""
+COLLECTED_LISTING_SQL = f"""
+SELECT page_id, cast(page_id % 50 as int) AS cat_order, cast(floor(page_id / 50) + 1 as int) AS page,
+ CASE WHEN page_id % 17 = 3 THEN NULL
+  WHEN page_id % 29 = 7 THEN concat({", ".join(_LINK.format(k) for k in range(3))})
+  ELSE concat({", ".join(_LINK.format(k) for k in range(0, 14, 2))}, '<a href="/about">us</a>') END AS html
+FROM pages
+"""
+
+COLLECTED_PAGES_SQL = f"""
+SELECT page_id, concat('https://jobs.example.com/remote-jobs/', page_id) AS url,
+ CASE WHEN page_id % 13 = 5 THEN NULL ELSE html END AS html FROM ({JOB_PAGES_SQL})
+"""
+
 
 KEYS = {"documents": "doc_id", "pages": "page_id", "labels": "doc_id"}
 
@@ -71,3 +85,13 @@ def job_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _derived(spark, sf_dir, "pages", LISTING_SQL)
+
+
+def collected_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listing pages that link to stored pages; some failed, some are the last of their category."""
+    return _derived(spark, sf_dir, "pages", COLLECTED_LISTING_SQL)
+
+
+def collected_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Detail pages under the URLs that the listing pages link to; some failed."""
+    return _derived(spark, sf_dir, "pages", COLLECTED_PAGES_SQL)

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from jobsift.sources import split_csv
+
 POSTING_COLUMNS = [
     "titulo",
     "empresa",
@@ -49,6 +51,8 @@ def read_postings_csv(
     schema: T.StructType = POSTING_SCHEMA,
     text_col: str = "descricao_texto",
     key: str = "doc_id",
+    split: bool = False,
+    split_bytes: int | None = None,
 ) -> DataFrame:
     """Header CSV with quoted line breaks; an empty field is null.
 
@@ -58,10 +62,13 @@ def read_postings_csv(
     as are files with different headers.  Without a key column the key is a
     64-bit hash of the link, or of all fields where the link is empty.
 
-    Quoted line breaks make a CSV file unsplittable, so a large corpus should
-    come as many files, or be converted to Parquet once.
+    A file is one task's work unless ``split`` is given: then many tasks read a file
+    (of about ``split_bytes`` each), which needs quotes to be doubled inside fields.
     """
-    raw = spark.read.options(**CSV_OPTIONS, enforceSchema="false").csv(path)
+    if split:
+        raw = split_csv.read(spark, path, CSV_OPTIONS, split_bytes)
+    else:
+        raw = spark.read.options(**CSV_OPTIONS, enforceSchema="false").csv(path)
     require_columns(raw, text_col)
 
     def bound(field: T.StructField) -> Column:

@@ -35,7 +35,7 @@ def test_no_skill_gives_an_empty_report(texts):
 def test_pair_total_is_the_sum_over_documents(spark, sf_dir):
     postings = views.postings(spark, sf_dir)
     total = report.skill_pair_counts(postings).agg(F.sum("n")).first()[0]
-    k = F.size(report.words_present(F.lower("descricao_texto"), report.lexicons.REPORT_SKILLS))
+    k = F.size(report.words_contained(F.lower("descricao_texto"), report.lexicons.REPORT_SKILLS))
     expected = postings.select((k * (k - 1) / 2).cast("long").alias("p")).agg(F.sum("p")).first()[0]
     assert total == expected > 0
 
