@@ -9,7 +9,8 @@ their sets, which are verified exactly.
 
 Only components are wanted, so each posting list and each group is first joined
 with its leader.  Whatever these links do not connect is compared pair by pair, in
-lists of different groups and inside each group.
+lists of different groups and inside each group; of the tokens that two sets share
+in open lists, the first one makes the pair.
 """
 
 from __future__ import annotations
@@ -32,6 +33,9 @@ WORDED = r"[^\x20\x09-\x0D]"
 PERCENT = 80
 #: Counters of shingle frequencies: 4 MB, the same for every corpus.
 COUNTERS = 1 << 20
+#: 64-bit words of a set's parities, and shared tokens that a set carries along to leave out pairs made before.
+PARITY_WORDS = 16
+EARLY_TOKENS = 32
 _CHUNK = 1 << 12
 _MERGES = 64
 
@@ -55,11 +59,12 @@ def shingle_sets(texts: Texts, width: int = SHINGLE) -> list[np.ndarray]:
 
 
 def parities(items: np.ndarray) -> list[int]:
-    """Four 64-bit words: bit b tells whether an odd number of shingles has hash b.
+    """64-bit words: bit b tells whether an odd number of shingles has hash b.
 
     Two sets differ in at least as many shingles as these words differ in bits.
     """
-    odd = np.bincount((items >> np.uint64(40)).astype(np.int64) & 255, minlength=256) & 1
+    size = 64 * PARITY_WORDS
+    odd = np.bincount((items >> np.uint64(40)).astype(np.int64) % size, minlength=size) & 1
     return np.packbits(odd.astype(np.uint8)).view(">i8").tolist()
 
 
@@ -150,8 +155,11 @@ def _marked(docs: DataFrame, text: str, key: str) -> DataFrame:
 
 
 def _sets(docs: DataFrame, text: str, key: str, rows: DataFrame, digests: DataFrame, width: int) -> DataFrame:
-    """(digest, items) of the wanted digests, from one reading of the texts that have them."""
-    marks = rows.join(digests, "digest", "left_semi").groupBy("digest").agg(F.min("mark").alias("mark")).select("mark").distinct()
+    """(digest, items) of the wanted digests, from one reading of the texts that have them.
+
+    ``rows`` has one text mark for each digest.
+    """
+    marks = rows.join(digests, "digest", "left_semi").select("mark").distinct()
     texts = _marked(docs, text, key).join(marks, "mark", "left_semi").select("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -185,13 +193,13 @@ def _fits(x: Callable[[str], Column], y: Callable[[str], Column], percent: int,
     From the first shared shingle on, what is left of both sets must reach the
     overlap needed; and the sets may differ in no more than the rest.
     """
-    n, m = x("n"), y("n")
+    n, m = x("n").cast("long"), y("n").cast("long")
     needed = F.ceil((n + m) * percent / F.lit(100.0 + percent) - F.lit(1e-9))
     fits = (F.least(n, m) * 100) >= (F.greatest(n, m) * percent)
     if placed:
         fits &= F.least(n - x("i"), m - y("i")) >= needed
     differing = F.lit(0)
-    for k in range(4):
+    for k in range(PARITY_WORDS):
         differing += F.bit_count(F.get(x("bits"), F.lit(k)).bitwiseXOR(F.get(y("bits"), F.lit(k))))
     return fits & (differing <= n + m - 2 * needed)
 
@@ -247,7 +255,8 @@ def _links(docs: DataFrame, text: str, key: str, signed: DataFrame, width: int,
     first = m.join(paired, F.col("m.g") == F.col("p.g")).join(led, F.col("p.top") == F.col("l.g")).where(near)
     inside = m.join(led, F.col("m.g") == F.col("l.g")).where(near & (F.col("m.digest") != F.col("l.digest")))
     tried = stored(first.select(*chosen).union(inside.select(*chosen)).distinct(), "leader-pairs")
-    rows = signed.select("digest", "mark")
+    # one text for each set, however many rows have it
+    rows = stored(filled.groupBy("digest").agg(F.min("mark").alias("mark")), "set-marks")
     links = stored(_verified(tried, _sets(docs, text, key, rows, _ends(tried), width), percent), "leader-links")
 
     # What the leaders did not connect: groups and tokens whose sets lie in different components.
@@ -258,15 +267,20 @@ def _links(docs: DataFrame, text: str, key: str, signed: DataFrame, width: int,
     placed = groups.select("g", F.posexplode("prefix").alias("i", "token"))
     placed = placed.join(tops.select("token"), "token")
     labelled = stored(placed.join(known, "g"), "labelled")
-    mixed_up = labelled.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-    open_lists = labelled.join(mixed_up.where("low <> high").select("token"), "token", "left_semi")
-    a, b = open_lists.alias("a"), open_lists.alias("b")
+    by_label = labelled.groupBy("token", "label").agg(F.count(F.lit(1)).alias("sets"))
+    largest = by_label.groupBy("token").agg(F.max_by("label", F.struct("sets", "label")).alias("main"), F.count(F.lit(1)).alias("labels"))
+    open_tokens = largest.where("labels > 1").select("token", "main")
+    open_lists = stored(labelled.join(open_tokens, "token"), "open-lists")
+    # The sets of a list's largest component need no comparison with each other: one side holds only the rest.
+    told = _first_shared(open_lists)
+    a, b = told.where("label <> main").alias("a"), told.alias("b")
     other = a.join(
         b,
         (F.col("a.token") == F.col("b.token"))
         & (F.col("a.g") != F.col("b.g"))
-        & (F.col("a.label") < F.col("b.label"))
-        & _fits(side("a"), side("b"), percent),
+        & ((F.col("b.label") == F.col("b.main")) | (F.col("a.label") < F.col("b.label")))
+        & _fits(side("a"), side("b"), percent)
+        & ~F.arrays_overlap("a.before", "b.before"),
     )
     # Sets of one group share the whole prefix, so they are compared by group and not by token or place.
     grouped = stored(known.join(several, "g", "left_semi"), "grouped")
@@ -287,6 +301,18 @@ def _links(docs: DataFrame, text: str, key: str, signed: DataFrame, width: int,
     return links.union(more)
 
 
+def _first_shared(open_lists: DataFrame) -> DataFrame:
+    """Add ``before``: the first tokens of the group in open lists that precede this one.
+
+    Sets order their tokens alike, so two sets with a common token in ``before`` have met there, and
+    with no worse places.  A token that is not carried along costs a repeated pair and loses none.
+    """
+    tokens = open_lists.select("g", "i", "token").distinct().groupBy("g")
+    early = tokens.agg(F.slice(F.sort_array(F.collect_list(F.struct("i", "token"))), 1, EARLY_TOKENS).alias("early"))
+    before = F.transform(F.filter("early", lambda t: t["i"] < F.col("i")), lambda t: t["token"])
+    return open_lists.join(early, "g").withColumn("before", before).drop("early")
+
+
 def _ends(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.col("u").alias("digest")).union(pairs.select(F.col("v").alias("digest"))).distinct()
 
