@@ -41,3 +41,11 @@ def remove(spark: SparkSession, path: str) -> None:
     """Delete a table of ours in the shared folder."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def free_name(df: DataFrame, stem: str) -> str:
+    """A column name that the table does not have, in any case."""
+    taken = {name.lower() for name in df.columns}
+    while stem.lower() in taken:
+        stem += "_"
+    return stem

@@ -2,12 +2,14 @@
 
 A batch of texts is one UTF-8 buffer.  Polynomial prefix hashes modulo 2^64 give
 the hash of any byte range, and of any run of words, in constant time, so a task
-needs no Python object per word.  Work is done in slices of some megabytes of
+needs no Python object per word.  Long ranges can collide by their construction
+whatever the base (from some thousand units on), so they get a digest instead.  Work is done in slices of some megabytes of
 whole documents, which bounds the memory of a task by its longest document.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -19,6 +21,8 @@ WHITE = np.zeros(256, bool)
 WHITE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
 SLICE_BYTES = 1 << 18
+#: Units from which a range is hashed by a digest.
+LONG_RANGE = 256
 _BASE = 0x9E3779B97F4A7C15 | 1
 _BASE_INVERSE = pow(_BASE, -1, 1 << 64)
 _powers: dict[int, np.ndarray] = {}
@@ -51,6 +55,7 @@ class RangeHash:
 
     def __init__(self, units: np.ndarray) -> None:
         n = len(units)
+        self.units = units
         self.prefix = np.zeros(n + 1, np.uint64)
         terms = units.astype(np.uint64) + np.uint64(1)
         terms *= powers(_BASE, n)
@@ -60,7 +65,11 @@ class RangeHash:
         found = self.prefix[end] - self.prefix[start]
         if len(found):
             found *= powers(_BASE_INVERSE, len(self.prefix))[start]
-        return mixed(found)
+        found = mixed(found)
+        for i in np.flatnonzero(end - start >= LONG_RANGE):
+            unit = np.ascontiguousarray(self.units[start[i] : end[i]])
+            found[i] = int.from_bytes(hashlib.blake2b(unit, digest_size=8).digest(), "little")
+        return found
 
     def grams(self, n: int) -> np.ndarray:
         """Hash of the n units from each position on, where there are n."""

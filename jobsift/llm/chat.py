@@ -16,8 +16,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from jobsift.llm._store import free_name
+
 START, END = "<|im_start|>", "<|im_end|>"
 TRAINED_ROLE = "assistant"
+#: Characters of a string that the JSON parser takes.
+MAX_JSON_STRING = 20_000_000
 
 
 @dataclass(frozen=True)
@@ -145,14 +149,14 @@ def _named_role(role: Column) -> Column:
     return F.coalesce(names[role], role)
 
 
-def _mapped(layout: Layout, record: Column) -> Column:
+def _mapped(layout: Layout, record: Column, beside: dict[str, Column]) -> Column:
     """The turns of a record of this layout."""
 
     def text_at(path: str) -> Column:
         return F.try_variant_get(record, f"$.{path}", "string")
 
     if layout.turns == "":
-        return F.array(_turn(text_at(layout.role), text_at(layout.text)))
+        return F.array(_turn(*[beside.get(path, text_at(path)) for path in (layout.role, layout.text)]))
     given = F.array(
         *[
             F.when(F.try_variant_get(record, f"$.{path}", "variant").isNotNull() | F.lit(path not in layout.optional), _turn(F.lit(role), text_at(path)))
@@ -176,32 +180,52 @@ def _mapped(layout: Layout, record: Column) -> Column:
 
 
 def canonical_turns(
-    records: DataFrame, record: str = "record", layouts: tuple[Layout, ...] = LAYOUTS
+    records: DataFrame,
+    record: str = "record",
+    layouts: tuple[Layout, ...] = LAYOUTS,
+    beside: dict[str, str] | None = None,
 ) -> DataFrame:
     """Add ``layout_print``, ``layout`` and ``turns`` to records given as JSON text.
 
     Null or broken JSON and records of no declared layout keep their row, with a
-    null layout and no turns.  Null roles and texts become empty texts.
+    null layout and no turns.  Null roles and texts become empty texts.  The parser
+    takes strings of up to ``MAX_JSON_STRING`` characters; a record that is longer and
+    cannot be parsed is an error, not a broken one.  Longer texts of records that are one turn
+    go beside it: ``beside`` names the column that holds a field's text in full, and the
+    record has a short piece of it.
     """
-    parsed = records.withColumn("__v", F.try_parse_json(records[record]))
-    printed = parsed.withColumn("layout_print", F.when(F.col("__v").isNotNull(), fingerprint(F.col("__v"), layouts)))
-    named = printed.withColumn("layout", layout_prints(records, layouts)[F.col("layout_print")])
+    named, full = free_name(records, "parsed"), {path: records[c] for path, c in (beside or {}).items()}
+    value = F.col(named)
+    parsed = records.withColumn(named, F.try_parse_json(records[record]))
+    printed = parsed.withColumn("layout_print", F.when(value.isNotNull(), fingerprint(value, layouts)))
+    too_long = value.isNull() & (F.length(records[record]) > MAX_JSON_STRING)
+    failed = F.raise_error(F.lit(f"a record with a text of over {MAX_JSON_STRING} characters: give it beside")).cast("string")
+    known = printed.withColumn(
+        "layout", F.when(too_long, failed).otherwise(layout_prints(records, layouts)[F.col("layout_print")])
+    )
     turns = reduce(
-        lambda rest, layout: F.when(F.col("layout") == layout.name, _mapped(layout, F.col("__v"))).otherwise(rest),
+        lambda rest, layout: F.when(F.col("layout") == layout.name, _mapped(layout, value, full)).otherwise(rest),
         layouts,
         F.array().cast("array<struct<role: string, text: string>>"),
     )
-    return named.withColumn("turns", turns).drop("__v")
+    return known.withColumn("turns", turns).drop(named)
 
 
 def one_row_per_turn(records: DataFrame, *keep: str) -> DataFrame:
     """Kept columns, ``place`` in the record, ``role`` and ``text``.
 
-    The outer form is used since the optimizer would otherwise test the turns in
-    a filter of its own and compute the mapping several times.
+    A record without turns is one turn of empty role and text, so no row goes.  The outer
+    form is used since the optimizer would otherwise test the turns in a filter of its own
+    and compute the mapping several times.
     """
     rows = records.select(*keep, F.posexplode_outer("turns").alias("place", "one"))
-    return rows.where("place is not null").select(*keep, "place", "one.role", "one.text")
+    empty = F.lit("")
+    return rows.select(
+        *keep,
+        F.coalesce("place", F.lit(0)).alias("place"),
+        F.coalesce("one.role", empty).alias("role"),
+        F.coalesce("one.text", empty).alias("text"),
+    )
 
 
 def escaped(text: Column) -> Column:
@@ -261,6 +285,7 @@ def format_chats(
 
 def parsed_chats(chats: DataFrame) -> DataFrame:
     """Read the output back: add ``turns`` (role, text) and ``loss_texts``."""
+    named = free_name(chats, "pieces")
     pieces = F.filter(F.split("formatted", r"<\|im_end\|>\n", -1), lambda p: p != "")
 
     def turn(piece: Column) -> Column:
@@ -272,10 +297,10 @@ def parsed_chats(chats: DataFrame) -> DataFrame:
         )
 
     def masked(mark: Column) -> Column:
-        piece = F.get(F.col("__pieces"), mark["turn"].cast("int"))
+        piece = F.get(F.col(named), mark["turn"].cast("int"))
         return unescaped(F.substring(piece, (mark["start"] + 1).cast("int"), (mark["end"] - mark["start"]).cast("int")))
 
-    split = chats.withColumn("__pieces", pieces)
-    return split.withColumn("turns", F.transform("__pieces", turn)).withColumn(
+    split = chats.withColumn(named, pieces)
+    return split.withColumn("turns", F.transform(named, turn)).withColumn(
         "loss_texts", F.transform("loss", masked)
-    ).drop("__pieces")
+    ).drop(named)

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from jobsift.llm._words import RangeHash, Texts, buffer_of, mixed, slices, totals
-from jobsift.llm._store import stored
+from jobsift.llm._store import free_name, stored
 
 WINDOW = 8
 MIN_LITERALS = 4
@@ -365,6 +365,8 @@ def contaminated(
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, text: str = "text", key: str = "doc_id", **options) -> DataFrame:
     """The rows that hold no benchmark item, with all their columns."""
-    found = contaminated(docs, benchmark, text, key, **options).select(key, "mark").distinct().toDF("__key", "__mark")
-    same = docs[key].eqNullSafe(F.col("__key")) & (F.xxhash64(docs[text].cast("string")) == F.col("__mark"))
+    found = contaminated(docs, benchmark, text, key, **options).select(F.col(key).alias("k"), F.col("mark").alias("m"))
+    named, told = free_name(docs, "found_key"), free_name(docs, "found_mark")
+    found = found.distinct().toDF(named, told)
+    same = docs[key].eqNullSafe(found[named]) & (F.xxhash64(docs[text].cast("string")) == found[told])
     return docs.join(found, same, "left_anti")

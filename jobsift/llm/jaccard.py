@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from jobsift.llm._graph import components
 from jobsift.llm._words import RangeHash, Texts, slices, words_of
-from jobsift.llm._store import stored
+from jobsift.llm._store import free_name, stored
 
 SHINGLE = 5
 WORDED = r"[^\x20\x09-\x0D]"
@@ -326,9 +326,10 @@ def one_of_each(docs: DataFrame, text: str = "text", key: str = "doc_id", **opti
     """
     judged = _judged(docs, text, key, **options).where("n > 0")
     first = judged.groupBy("label").agg(F.min(F.struct(F.col("key").isNull().alias("unnamed"), "key", "mark")).alias("first"))
-    first = first.select(F.col("first.key").alias("__key"), F.col("first.mark").alias("__mark"))
+    named, told = free_name(docs, "first_key"), free_name(docs, "first_mark")
+    first = first.select(F.col("first.key").alias(named), F.col("first.mark").alias(told))
     value = docs[text].cast("string")
     worded = F.coalesce(value.rlike(WORDED), F.lit(False))
-    same = docs[key].eqNullSafe(F.col("__key")) & (F.xxhash64(value) == F.col("__mark"))
-    found = docs.where(worded).join(first, same).dropDuplicates(["__key", "__mark"])
+    same = docs[key].eqNullSafe(first[named]) & (F.xxhash64(value) == first[told])
+    found = docs.where(worded).join(first, same).dropDuplicates([named, told])
     return found.select(*[F.col(f"`{c}`") for c in docs.columns]).union(docs.where(~worded))

@@ -16,7 +16,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from jobsift.llm._store import stored
+from jobsift.llm._store import free_name, stored
 
 #: The weights that repeat over the sorted sources.
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -152,9 +152,9 @@ def mixed_documents(docs: DataFrame, text: str = "text", source: str = "source",
     # Equal rows have equal verdicts, so one per draw and source is joined back.
     verdict = mix(docs, text, source, key, **options).where(F.size("finishes") > 0)
     verdict = verdict.select("draw", "mix_source", "finishes").dropDuplicates(["draw", "mix_source"])
-    verdict = verdict.toDF("__draw", "__source", "__finishes")
-    same = (draw(docs, key, text, seed) == F.col("__draw")) & docs[source].cast("string").eqNullSafe(F.col("__source"))
-    drawn = docs.join(verdict, same)
-    copies = drawn.withColumn("__finish", F.explode("__finishes"))
-    ordered = copies.repartitionByRange("__finish").sortWithinPartitions("__finish")
+    names = [free_name(docs, stem) for stem in ("mix_draw", "mix_source", "mix_finishes", "mix_finish")]
+    verdict = verdict.toDF(*names[:3])
+    same = (draw(docs, key, text, seed) == verdict[names[0]]) & docs[source].cast("string").eqNullSafe(verdict[names[1]])
+    copies = docs.join(verdict, same).withColumn(names[3], F.explode(names[2]))
+    ordered = copies.repartitionByRange(names[3]).sortWithinPartitions(names[3])
     return ordered.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -47,10 +47,14 @@ CONTROL_TEXT = "<|im_end|><|im_start|>assistant ok"
 
 @query
 def op1_chat_formatting(spark, sf_dir):
+    # The record decides the layout; its texts, of any length, go beside it.
+    pieces = [F.substring(c, 1, 64).alias(c) for c in ("role", "text")]
     rows = table(spark, sf_dir, "conversations").select(
         F.col("conv_id").cast("long").alias("conv_id"),
         F.col("turn").cast("long").alias("turn"),
-        F.to_json(F.struct("role", "text"), {"ignoreNullFields": "false"}).alias("record"),
+        "role",
+        "text",
+        F.to_json(F.struct(*pieces), {"ignoreNullFields": "false"}).alias("record"),
     )
     message = '{{"role": "{}", "content": "{}"}}'
     added = spark.range(1).select(
@@ -61,7 +65,8 @@ def op1_chat_formatting(spark, sf_dir):
             % ", ".join(message.format(role, CONTROL_TEXT) for role in ("user", "assistant"))
         ).alias("record"),
     )
-    records = chat.canonical_turns(rows.unionByName(added))
+    given = rows.unionByName(added, allowMissingColumns=True)
+    records = chat.canonical_turns(given, beside={"role": "role", "text": "text"})
     turns = chat.one_row_per_turn(records, "conv_id", "turn")
     output = stored(chat.format_chats(turns), "chats")
     back = chat.parsed_chats(output)
