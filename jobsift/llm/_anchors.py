@@ -6,9 +6,12 @@ about 2 in w + 1 positions are anchors.  An anchor owns the windows that chose i
 A window can only be repeated if its anchor is, so first the anchors that occur
 twice are found, then only the windows these own are compared.
 
-Numbers travel as packed arrays, one row per shard and group of texts.  What
-already repeats inside a group of texts is decided there, and one of it is sent
-on, so a passage that a third of all documents share does not fill one task.
+Numbers travel as packed arrays, one row per shard and group of texts, and what is
+found as one row per shard and bucket of rows.  What already repeats inside a group of
+texts is decided there, and one of it is sent on.  Where a passage that many documents
+share meets their different surroundings, an anchor owns regions that differ in each: the
+windows of an anchor with very many regions are dealt one by one, by their own hash,
+so no anchor fills one task.
 """
 
 from __future__ import annotations
@@ -30,6 +33,11 @@ GROUP_BYTES = 8 << 20
 REGION_BYTES = 6 << 20
 #: Packed entries per shard that a task holds.
 SHARD_ENTRIES = 1 << 18
+#: Regions from which an anchor's windows are dealt one by one, and the most anchors that may be so.
+HOT_REGIONS = 2048
+HOT_ANCHORS = 1 << 20
+#: Bucket of the rows that hold hot anchors.
+HOT = -1
 
 Units = Callable[[Texts], tuple[np.ndarray, np.ndarray]]
 
@@ -102,7 +110,9 @@ def _packed(shards: int, rows: np.ndarray, keys: np.ndarray, text: np.ndarray, s
     twice = ~head
     twice[:-1] |= ~head[1:]
     sent, done = order[head], order[twice]
-    flags = twice[head].astype(np.uint8)
+    # How many more a group has; from one on they are decided.
+    copies = np.diff(np.append(np.flatnonzero(head), len(keys)))
+    flags = np.minimum(copies - 1, 255).astype(np.uint8)
     place = shard_of(keys[sent], shards)
     even = np.argsort(place, kind="stable")
     sent, flags, cuts = sent[even], flags[even], np.searchsorted(place[even], np.arange(shards + 1))
@@ -192,32 +202,82 @@ def repeated_entries(keys: np.ndarray) -> np.ndarray:
     return marks
 
 
-HIT_SCHEMA = "row long, spots binary"
+HIT_SCHEMA = "bucket int, rows binary, spots binary"
+_BUCKETED = pa.schema([("bucket", pa.int32()), ("rows", pa.binary()), ("spots", pa.binary())])
 
 
-def hits_table(rows: np.ndarray, spots: np.ndarray) -> pa.Table:
-    """Spots by row as HIT_SCHEMA."""
-    order = np.argsort(rows, kind="stable")
-    rows, spots = rows[order], spots[order]
-    head = np.flatnonzero(np.append(True, rows[1:] != rows[:-1])) if len(rows) else np.zeros(0, np.int64)
-    tail = np.append(head[1:], len(rows)) if len(rows) else head
-    packed = [spots[a:b].tobytes() for a, b in zip(head, tail, strict=True)]
-    return pa.table({"row": pa.array(rows[head], pa.int64()), "spots": pa.array(packed, pa.binary())})
+def _bucketed(rows: np.ndarray, values: np.ndarray, buckets: int, name: str) -> pa.Table:
+    """Values and their rows, packed by bucket of the row."""
+    place = shard_of(rows.astype(np.int64).view(np.uint64), buckets)
+    order = np.lexsort((rows, place))
+    cuts = np.searchsorted(place[order], np.arange(buckets + 1))
+    used = np.flatnonzero(cuts[1:] > cuts[:-1])
+    parts = [order[cuts[i] : cuts[i + 1]] for i in used]
+    return pa.table(
+        {
+            "bucket": pa.array(used, pa.int32()),
+            "rows": pa.array([planes(rows[p].astype("<i8")) for p in parts], pa.binary()),
+            name: pa.array([planes(values[p]) for p in parts], pa.binary()),
+        }
+    )
+
+
+def _by_row(table: pa.Table, kind: np.dtype, by: str, name: str, joined: Callable[[np.ndarray], np.ndarray]) -> pa.Table:
+    """The packed values of a bucket, one row per document."""
+    rows = np.concatenate([unplaned(x.as_py(), "<i8") for x in table.column("rows")])
+    values = np.concatenate([unplaned(x.as_py(), kind) for x in table.column(name)])
+    order = np.lexsort((values[by], rows))
+    rows, values = rows[order], values[order]
+    head = np.flatnonzero(np.append(True, rows[1:] != rows[:-1]))
+    packed = [joined(values[a:b]).tobytes() for a, b in zip(head, np.append(head[1:], len(rows)), strict=True)]
+    return pa.table({"row": pa.array(rows[head], pa.int64()), name: pa.array(packed, pa.binary())})
+
+
+def hot_limit(anchors: int) -> int:
+    """Regions from which an anchor is hot, so that at most ``HOT_ANCHORS`` of so many are."""
+    return max(HOT_REGIONS, anchors // HOT_ANCHORS)
+
+
+def hot_keys(keys: np.ndarray, flags: np.ndarray, limit: int) -> np.ndarray:
+    """Keys with ``limit`` entries or more; an entry counts with the copies its group has left out."""
+    order = np.argsort(keys, kind="stable")
+    head = np.flatnonzero(np.append(True, keys[order][1:] != keys[order][:-1])) if len(keys) else np.zeros(0, np.int64)
+    counts = np.add.reduceat(flags[order].astype(np.int64) + 1, head) if len(keys) else head
+    return keys[order][head][counts >= limit]
+
+
+def hits_table(rows: np.ndarray, spots: np.ndarray, buckets: int, hot: np.ndarray) -> pa.Table:
+    """Spots by bucket of their rows, and the hot anchors, as HIT_SCHEMA."""
+    found = _bucketed(rows, spots, buckets, "spots")
+    if len(hot):
+        row = {"bucket": HOT, "rows": planes(hot.astype("<u8")), "spots": b""}
+        found = pa.concat_tables([found, pa.Table.from_pylist([row], _BUCKETED)])
+    return found
+
+
+def hot_of(hits: DataFrame) -> np.ndarray:
+    """All hot anchors, sorted; ``hot_limit`` bounds their number."""
+    found = [unplaned(bytes(r["rows"]), "<u8") for r in hits.where(F.col("bucket") == HOT).select("rows").collect()]
+    return np.unique(np.concatenate(found)) if found else np.zeros(0, np.uint64)
+
+
+def _each_once(spots: np.ndarray) -> np.ndarray:
+    return spots[np.unique(spots["pos"], return_index=True)[1]]
 
 
 def with_hits(rows: DataFrame, hits: DataFrame) -> DataFrame:
     """The rows that have repeated anchors, with their packed spots."""
-    listed = hits.groupBy("row").agg(F.collect_list("spots").alias("spots"))
+
+    def regrouped(table: pa.Table) -> pa.Table:
+        return _by_row(table, SPOT, "pos", "spots", _each_once)
+
+    listed = hits.where(F.col("bucket") != HOT).groupBy("bucket").applyInArrow(regrouped, "row long, spots binary")
     return rows.join(listed, "row")
 
 
 def spots_of(batch: pa.RecordBatch, name: str = "spots") -> list[np.ndarray]:
     """Distinct spots of each row of a batch."""
-    found = []
-    for packed in batch.column(name):
-        spots = np.frombuffer(b"".join(packed.as_py()), SPOT)
-        found.append(spots[np.unique(spots["pos"], return_index=True)[1]])
-    return found
+    return [np.frombuffer(packed.as_py(), SPOT) for packed in batch.column(name)]
 
 
 CONTEXT_SCHEMA = (
@@ -228,15 +288,17 @@ CONTEXT_NAMES = [part.split()[0] for part in CONTEXT_SCHEMA.split(", ")]
 
 
 def contexts(
-    rows: DataFrame, units: Callable, k: int, size: int, shards: int, keep_least: bool
+    rows: DataFrame, units: Callable, k: int, size: int, shards: int, keep_least: bool, hot: np.ndarray
 ) -> DataFrame:
     """Packed owned regions of the repeated anchors of (row, rank, text, spots).
 
     ``units`` gives hashes, first unit per text, and byte range of every unit.
     Of equal regions in a group of texts one is sent on and the others are
     decided: with ``keep_least``, those of a larger rank than the least; without,
-    all of them.
+    all of them.  The region of a ``hot`` anchor is cut into its windows, each a region
+    whose key is its own hash.
     """
+    shipped = rows.sparkSession.sparkContext.broadcast(hot)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[dict] = []
@@ -253,8 +315,11 @@ def contexts(
                 flat = np.concatenate(mine)
                 at = flat["pos"].astype(np.int64) + first[text]
                 lo, last = at - flat["lo"], at - flat["hi"] + size
+                ranges = RangeHash(found)
+                keys = ranges.of(at, at + k)
+                if len(shipped.value):
+                    text, lo, last, keys = _cut(text, lo, last, keys, size, ranges, np.isin(keys, shipped.value))
                 a, b = byte_start[lo], byte_end[last - 1]
-                keys = RangeHash(found).of(at, at + k)
                 one = {
                     "keys": keys,
                     "text": text,
@@ -277,6 +342,21 @@ def contexts(
     return rows.select("row", "rank", "text", "spots").mapInArrow(run, CONTEXT_SCHEMA)
 
 
+def _cut(
+    text: np.ndarray, lo: np.ndarray, last: np.ndarray, keys: np.ndarray, size: int, ranges: RangeHash, hot: np.ndarray
+) -> tuple[np.ndarray, ...]:
+    """Regions with those marked ``hot`` replaced by their windows."""
+    counts = (last - lo - size + 1)[hot]
+    offset = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+    start = np.repeat(lo[hot], counts) + offset
+    return (
+        np.concatenate([text[~hot], np.repeat(text[hot], counts)]),
+        np.concatenate([lo[~hot], start]),
+        np.concatenate([last[~hot], start + size]),
+        np.concatenate([keys[~hot], ranges.of(start, start + size)]),
+    )
+
+
 def _context_rows(held: list[dict], shards: int, size: int, keep_least: bool) -> pa.RecordBatch:
     base = np.cumsum([0, *(len(h["rows"]) for h in held[:-1])])
     joined = {n: np.concatenate([h[n] for h in held]) for n in held[0] if n != "text"}
@@ -356,19 +436,22 @@ class Contexts:
 
 
 SPAN = np.dtype([("start", "<u4"), ("end", "<u4")])
-SPAN_SCHEMA = "row long, spans binary"
+SPAN_SCHEMA = "bucket int, rows binary, spans binary"
 
 
-def spans_table(rows: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Table:
-    """Merged spans by row as SPAN_SCHEMA."""
+def spans_table(rows: np.ndarray, starts: np.ndarray, ends: np.ndarray, buckets: int) -> pa.Table:
+    """Merged spans by bucket of their rows as SPAN_SCHEMA."""
     order = np.lexsort((starts, rows))
     rows, starts, ends = rows[order], starts[order], ends[order]
-    packed, names = [], []
-    head = np.flatnonzero(np.append(True, rows[1:] != rows[:-1])) if len(rows) else []
-    for a, b in zip(head, np.append(head[1:], len(rows)) if len(rows) else [], strict=True):
-        packed.append(merged(starts[a:b], ends[a:b]).tobytes())
-        names.append(rows[a])
-    return pa.table({"row": pa.array(names, pa.int64()), "spans": pa.array(packed, pa.binary())})
+    head = np.flatnonzero(np.append(True, rows[1:] != rows[:-1])) if len(rows) else np.zeros(0, np.int64)
+    parts = [merged(starts[a:b], ends[a:b]) for a, b in zip(head, np.append(head[1:], len(rows)), strict=False)]
+    counts = [len(p) for p in parts]
+    spans = np.concatenate(parts) if parts else np.zeros(0, SPAN)
+    return _bucketed(np.repeat(rows[head], counts).astype(np.int64), spans, buckets, "spans")
+
+
+def _united(spans: np.ndarray) -> np.ndarray:
+    return merged(spans["start"].astype(np.int64), spans["end"].astype(np.int64))
 
 
 def merged(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -383,15 +466,14 @@ def merged(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
 
 
 def with_spans(rows: DataFrame, spans: DataFrame) -> DataFrame:
-    """All rows, each with the list of packed spans found for it."""
-    listed = spans.groupBy("row").agg(F.collect_list("spans").alias("spans"))
-    return rows.join(listed, "row", "left")
+    """All rows, each with the packed spans found for it."""
+
+    def regrouped(table: pa.Table) -> pa.Table:
+        return _by_row(table, SPAN, "start", "spans", _united)
+
+    return rows.join(spans.groupBy("bucket").applyInArrow(regrouped, "row long, spans binary"), "row", "left")
 
 
 def spans_of(value) -> np.ndarray:
     """Merged spans of one row of ``with_spans``."""
-    if value is None:
-        return np.zeros(0, SPAN)
-    spans = np.frombuffer(b"".join(value), SPAN)
-    spans = spans[np.argsort(spans["start"], kind="stable")]
-    return merged(spans["start"].astype(np.int64), spans["end"].astype(np.int64))
+    return np.zeros(0, SPAN) if value is None else np.frombuffer(value, SPAN)

@@ -158,7 +158,7 @@ def _word_ranges(texts: Texts):
     return words.hash, words.first, words.start, words.end
 
 
-def _shard(table: pa.Table, width: int) -> pa.Table:
+def _shard(table: pa.Table, width: int, buckets: int) -> pa.Table:
     regions = _anchors.Contexts(table)
     rows, starts, ends = regions.done
     if len(regions.keys):
@@ -177,13 +177,16 @@ def _shard(table: pa.Table, width: int) -> pa.Table:
         found = regions.starts[owner] + hit - first[owner]
         rows = np.concatenate([rows, regions.rows[owner]])
         starts, ends = np.concatenate([starts, found]), np.concatenate([ends, found + width])
-    return _anchors.spans_table(rows, starts, ends)
+    return _anchors.spans_table(rows, starts, ends, buckets)
 
 
-def _anchor_hits(table: pa.Table) -> pa.Table:
+def _anchor_hits(table: pa.Table, buckets: int, limit: int) -> pa.Table:
     keys, flags, rows, spots, done_rows, done_spots = _anchors.unpacked(table)
     found = _anchors.repeated_entries(keys) & (flags == 0)
-    return _anchors.hits_table(np.concatenate([rows[found], done_rows]), np.concatenate([spots[found], done_spots]))
+    hot = _anchors.hot_keys(keys, flags, limit)
+    return _anchors.hits_table(
+        np.concatenate([rows[found], done_rows]), np.concatenate([spots[found], done_spots]), buckets, hot
+    )
 
 
 def repeated_passages(rows: DataFrame, width: int = WINDOW, gram: int = GRAM) -> DataFrame:
@@ -192,16 +195,22 @@ def repeated_passages(rows: DataFrame, width: int = WINDOW, gram: int = GRAM) ->
     w = width - gram + 1
     n_bytes = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     # About one anchor per 70 bytes of text.
-    shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n_bytes // 70 // _anchors.SHARD_ENTRIES))
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    shards = max(buckets, -(-n_bytes // 70 // _anchors.SHARD_ENTRIES))
+    limit = _anchors.hot_limit(n_bytes // 70)
     packed = _anchors.entries(rows, _word_units, gram, w, shards)
-    hits = stored(packed.groupBy("shard").applyInArrow(_anchor_hits, _anchors.HIT_SCHEMA), "anchor-hits")
+
+    def hits_of(table: pa.Table) -> pa.Table:
+        return _anchor_hits(table, buckets, limit)
+
+    hits = stored(packed.groupBy("shard").applyInArrow(hits_of, _anchors.HIT_SCHEMA), "anchor-hits")
     n_hits = (hits.agg(F.sum(F.octet_length("spots"))).first()[0] or 0) // _anchors.SPOT.itemsize
-    shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n_hits * (width + w // 2) // SHARD_WORDS))
+    shards = max(buckets, -(-n_hits * (width + w // 2) // SHARD_WORDS))
     placed = _anchors.with_hits(rows.withColumn("rank", F.lit(0).cast("long")), hits)
-    regions = _anchors.contexts(placed, _word_ranges, gram, width, shards, keep_least=False)
+    regions = _anchors.contexts(placed, _word_ranges, gram, width, shards, False, _anchors.hot_of(hits))
 
     def verdict(table: pa.Table) -> pa.Table:
-        return _shard(table, width)
+        return _shard(table, width, buckets)
 
     return stored(regions.groupBy("shard").applyInArrow(verdict, _anchors.SPAN_SCHEMA), "word-spans")
 

@@ -82,3 +82,60 @@ def test_clashing_names(spark):
     assert decontaminate.clean_documents(docs, benchmark).count() == 6
     mixed = mixing.mixed_documents(docs)
     assert mixed.columns == docs.columns and mixed.count() == 6
+
+
+def shared_passage(n, seed=3):
+    """A passage of 60 words in every document, with surroundings of its own."""
+    import random
+
+    rng = random.Random(seed)
+    passage = " ".join(f"p{i}" for i in range(60))
+    around = lambda: " ".join(f"u{rng.randrange(10**9)}" for _ in range(40))
+    return [(i, f"{around()} {passage} {around()}") for i in range(n)]
+
+
+def words_by_force(rows, width):
+    import collections
+
+    seen = collections.Counter()
+    for _, text in rows:
+        words = text.split()
+        seen.update(tuple(words[i : i + width]) for i in range(len(words) - width + 1))
+    removed = {}
+    for key, text in rows:
+        words = text.split()
+        gone = {j for i in range(len(words) - width + 1) if seen[tuple(words[i : i + width])] > 1 for j in range(i, i + width)}
+        removed[key] = len(gone)
+    return removed
+
+
+@pytest.mark.parametrize("limit", [2048, 20])
+def test_hot_anchors_are_dealt_by_window(spark, monkeypatch, limit):
+    """Every document's region around the passage is another; no shard gets them all, and results stay."""
+    import pyarrow as pa
+
+    from jobsift.llm import _anchors, suffixes
+
+    monkeypatch.setattr(_anchors, "HOT_REGIONS", limit)
+    monkeypatch.setattr(_anchors, "REGION_BYTES", 1 << 14)
+    monkeypatch.setattr(_anchors, "GROUP_BYTES", 1 << 16)
+    rows = shared_passage(300)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    sizes = []
+    plain = _anchors.contexts
+
+    def watched(*args):
+        found = plain(*args)
+        count = lambda table: pa.table({"shard": table["shard"].slice(0, 1), "n": [len(_anchors.Contexts(table).keys)]})
+        sizes.append([r.n for r in found.groupBy("shard").applyInArrow(count, "shard int, n long").collect()])
+        return found
+
+    monkeypatch.setattr(_anchors, "contexts", watched)
+    got = {r.doc_id: r.n_removed for r in fmindex.remove_repeats(docs).collect()}
+    assert got == words_by_force(rows, 35)
+    got = {r.doc_id: r.n_removed for r in suffixes.remove_substrings(docs, batches=2).collect()}
+    first = rows[0][0]
+    assert got[first] == 0 and all(n >= len(" ".join(f"p{i}" for i in range(60))) for k, n in got.items() if k != first)
+    if limit < 2048:
+        for found in sizes:
+            assert max(found) <= 2 * sum(found) / len(found)
