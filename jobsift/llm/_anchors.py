@@ -28,9 +28,9 @@ from jobsift.llm._words import RangeHash, Texts, mixed, slices
 #: An anchor in its text: unit, and how far before it its first and last window start.
 SPOT = np.dtype([("pos", "<u4"), ("lo", "u1"), ("hi", "u1")])
 #: Texts are packed in groups of this many bytes.
-GROUP_BYTES = 8 << 20
+GROUP_BYTES = 12 << 20
 #: Owned regions are packed in groups of this many bytes.
-REGION_BYTES = 6 << 20
+REGION_BYTES = 10 << 20
 #: Packed entries per shard that a task holds.
 SHARD_ENTRIES = 1 << 18
 #: Regions from which an anchor's windows are dealt one by one, and the most anchors that may be so.
