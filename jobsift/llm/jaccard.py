@@ -35,7 +35,7 @@ PERCENT = 80
 COUNTERS = 1 << 20
 #: 64-bit words of a set's parities, and shared tokens that a set carries along to leave out pairs made before.
 PARITY_WORDS = 16
-EARLY_TOKENS = 32
+EARLY_TOKENS = 8
 _CHUNK = 1 << 12
 _MERGES = 64
 
@@ -265,15 +265,14 @@ def _links(docs: DataFrame, text: str, key: str, signed: DataFrame, width: int,
         "label", F.coalesce("label", "digest")
     )
     placed = groups.select("g", F.posexplode("prefix").alias("i", "token"))
-    placed = placed.join(tops.select("token"), "token")
+    placed = _with_earlier(placed.join(tops.select("token"), "token"))
     labelled = stored(placed.join(known, "g"), "labelled")
     by_label = labelled.groupBy("token", "label").agg(F.count(F.lit(1)).alias("sets"))
     largest = by_label.groupBy("token").agg(F.max_by("label", F.struct("sets", "label")).alias("main"), F.count(F.lit(1)).alias("labels"))
     open_tokens = largest.where("labels > 1").select("token", "main")
-    open_lists = stored(labelled.join(open_tokens, "token"), "open-lists")
+    open_lists = labelled.join(open_tokens, "token")
     # The sets of a list's largest component need no comparison with each other: one side holds only the rest.
-    told = _first_shared(open_lists)
-    a, b = told.where("label <> main").alias("a"), told.alias("b")
+    a, b = open_lists.where("label <> main").alias("a"), open_lists.alias("b")
     other = a.join(
         b,
         (F.col("a.token") == F.col("b.token"))
@@ -301,16 +300,17 @@ def _links(docs: DataFrame, text: str, key: str, signed: DataFrame, width: int,
     return links.union(more)
 
 
-def _first_shared(open_lists: DataFrame) -> DataFrame:
-    """Add ``before``: the first tokens of the group in open lists that precede this one.
+def _with_earlier(placed: DataFrame) -> DataFrame:
+    """Add ``before`` to (g, i, token) rows: the group's first tokens here that precede this one.
 
     Sets order their tokens alike, so two sets with a common token in ``before`` have met there, and
     with no worse places.  A token that is not carried along costs a repeated pair and loses none.
     """
-    tokens = open_lists.select("g", "i", "token").distinct().groupBy("g")
-    early = tokens.agg(F.slice(F.sort_array(F.collect_list(F.struct("i", "token"))), 1, EARLY_TOKENS).alias("early"))
-    before = F.transform(F.filter("early", lambda t: t["i"] < F.col("i")), lambda t: t["token"])
-    return open_lists.join(early, "g").withColumn("before", before).drop("early")
+    every = placed.groupBy("g").agg(F.sort_array(F.collect_list(F.struct("i", "token"))).alias("all"))
+    early = F.transform(F.slice("all", 1, EARLY_TOKENS), lambda t: t["token"])
+    rows = every.select("g", early.alias("early"), F.posexplode("all").alias("at", "t"))
+    before = F.slice("early", F.lit(1), F.least(F.col("at"), F.lit(EARLY_TOKENS)))
+    return rows.select("g", "t.i", "t.token", before.alias("before"))
 
 
 def _ends(pairs: DataFrame) -> DataFrame:
