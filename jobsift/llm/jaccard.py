@@ -36,6 +36,9 @@ COUNTERS = 1 << 20
 #: 64-bit words of a set's parities, and shared tokens that a set carries along to leave out pairs made before.
 PARITY_WORDS = 16
 EARLY_TOKENS = 8
+#: Groups of a list from which its rows carry all parity words and earlier tokens; shorter ones have few pairs.
+LONG_LIST = 16
+SHORT_PARITIES = 4
 _CHUNK = 1 << 12
 _MERGES = 64
 
@@ -200,7 +203,9 @@ def _fits(x: Callable[[str], Column], y: Callable[[str], Column], percent: int,
         fits &= F.least(n - x("i"), m - y("i")) >= needed
     differing = F.lit(0)
     for k in range(PARITY_WORDS):
-        differing += F.bit_count(F.get(x("bits"), F.lit(k)).bitwiseXOR(F.get(y("bits"), F.lit(k))))
+        # beyond the words that are there, nothing is known to differ
+        word = F.bit_count(F.get(x("bits"), F.lit(k)).bitwiseXOR(F.get(y("bits"), F.lit(k))))
+        differing += F.coalesce(word, F.lit(0))
     return fits & (differing <= n + m - 2 * needed)
 
 
@@ -246,7 +251,8 @@ def _links(docs: DataFrame, text: str, key: str, signed: DataFrame, width: int,
     groups = stored(filled.groupBy("g").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix")), "groups")
     listed = groups.select("g", F.explode("prefix").alias("token"))
     tops = listed.groupBy("token").agg(F.min("g").alias("top"), F.count(F.lit(1)).alias("groups"))
-    tops = stored(tops.where("groups > 1").select("token", "top"), "shared-tokens")
+    tops = tops.where("groups > 1").select("token", "top", (F.col("groups") >= LONG_LIST).alias("long"))
+    tops = stored(tops, "shared-tokens")
     pairs = listed.join(tops, "token").where("g <> top").select("g", "top").distinct()
     m, led, paired = members.alias("m"), leaders.alias("l"), pairs.alias("p")
     side = lambda name: lambda c: F.col(f"{name}.{c}")
@@ -265,8 +271,9 @@ def _links(docs: DataFrame, text: str, key: str, signed: DataFrame, width: int,
         "label", F.coalesce("label", "digest")
     )
     placed = groups.select("g", F.posexplode("prefix").alias("i", "token"))
-    placed = _with_earlier(placed.join(tops.select("token"), "token"))
-    labelled = stored(placed.join(known, "g"), "labelled")
+    placed = _with_earlier(placed.join(tops.select("token", "long"), "token"))
+    bits = F.when(F.col("long"), F.col("bits")).otherwise(_folded("bits"))
+    labelled = stored(placed.join(known, "g").withColumn("bits", bits).drop("long"), "labelled")
     by_label = labelled.groupBy("token", "label").agg(F.count(F.lit(1)).alias("sets"))
     largest = by_label.groupBy("token").agg(F.max_by("label", F.struct("sets", "label")).alias("main"), F.count(F.lit(1)).alias("labels"))
     open_tokens = largest.where("labels > 1").select("token", "main")
@@ -301,16 +308,27 @@ def _links(docs: DataFrame, text: str, key: str, signed: DataFrame, width: int,
 
 
 def _with_earlier(placed: DataFrame) -> DataFrame:
-    """Add ``before`` to (g, i, token) rows: the group's first tokens here that precede this one.
+    """Add ``before`` to (g, i, token, long) rows: the group's first tokens in long lists that precede this one.
 
     Sets order their tokens alike, so two sets with a common token in ``before`` have met there, and
     with no worse places.  A token that is not carried along costs a repeated pair and loses none.
     """
-    every = placed.groupBy("g").agg(F.sort_array(F.collect_list(F.struct("i", "token"))).alias("all"))
-    early = F.transform(F.slice("all", 1, EARLY_TOKENS), lambda t: t["token"])
-    rows = every.select("g", early.alias("early"), F.posexplode("all").alias("at", "t"))
-    before = F.slice("early", F.lit(1), F.least(F.col("at"), F.lit(EARLY_TOKENS)))
-    return rows.select("g", "t.i", "t.token", before.alias("before"))
+    every = placed.groupBy("g").agg(F.sort_array(F.collect_list(F.struct("i", "token", "long"))).alias("all"))
+    early = F.slice(F.filter("all", lambda t: t["long"]), 1, EARLY_TOKENS)
+    rows = every.select("g", early.alias("early"), F.explode("all").alias("t"))
+    before = F.transform(F.filter("early", lambda t: F.col("t.long") & (t["i"] < F.col("t.i"))), lambda t: t["token"])
+    return rows.select("g", "t.i", "t.token", "t.long", before.alias("before"))
+
+
+def _folded(bits: str) -> Column:
+    """Parities of fewer, wider classes of shingles: words that fall together are added."""
+    words = []
+    for k in range(SHORT_PARITIES):
+        word = F.get(F.col(bits), F.lit(k))
+        for other in range(k + SHORT_PARITIES, PARITY_WORDS, SHORT_PARITIES):
+            word = word.bitwiseXOR(F.get(F.col(bits), F.lit(other)))
+        words.append(word)
+    return F.array(*words)
 
 
 def _ends(pairs: DataFrame) -> DataFrame:
