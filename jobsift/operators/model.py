@@ -31,7 +31,7 @@ BUCKET_HEX_DIGITS = 4
 # Fixed value: the largest component of the mean loss's gradient at which common solvers stop
 GRADIENT_BOUND = 1e-4
 # Change of the loss at which a fit ends, tried in this order until the gradient is small enough
-TOLERANCES = (1e-6, 1e-8, 1e-10)
+TOLERANCES = (1e-6, 1e-8)
 
 
 def split_hash(key: str, seed: int) -> Column:
