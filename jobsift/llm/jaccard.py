@@ -190,7 +190,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(shared * 100 >= union * percent).select("u", "v")
 
 
-def _fits(x: Callable[[str], Column], y: Callable[[str], Column], percent: int, placed: bool = True) -> Column:
+def _fits(x: Callable[[str], Column], y: Callable[[str], Column], percent: int, placed: bool = True, differing: bool = True) -> Column:
     """Exact filters: sizes, places of the shared shingle, and bits that differ.
 
     From the first shared shingle on, what is left of both sets must reach the
@@ -201,12 +201,14 @@ def _fits(x: Callable[[str], Column], y: Callable[[str], Column], percent: int,
     fits = (F.least(n, m) * 100) >= (F.greatest(n, m) * percent)
     if placed:
         fits &= F.least(n - x("i"), m - y("i")) >= needed
-    differing = F.lit(0)
+    if not differing:
+        return fits
+    bits = F.lit(0)
     for k in range(PARITY_WORDS):
         # beyond the words that are there, nothing is known to differ
         word = F.bit_count(F.get(x("bits"), F.lit(k)).bitwiseXOR(F.get(y("bits"), F.lit(k))))
-        differing += F.coalesce(word, F.lit(0))
-    return fits & (differing <= n + m - 2 * needed)
+        bits += F.coalesce(word, F.lit(0))
+    return fits & (bits <= n + m - 2 * needed)
 
 
 def similar_groups(
@@ -249,13 +251,17 @@ def _links(docs: DataFrame, text: str, key: str, signed: DataFrame, width: int,
     leaders = members.groupBy("g", "n").agg(F.min(F.struct("digest", "bits")).alias("l")).select("g", "n", "l.*")
     several = members.groupBy("g").agg(F.count(F.lit(1)).alias("sets")).where("sets > 1").select("g")
     groups = stored(filled.groupBy("g").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix")), "groups")
-    listed = groups.select("g", F.explode("prefix").alias("token"))
+    listed = groups.select("g", "n", F.posexplode("prefix").alias("i", "token"))
     tops = listed.groupBy("token").agg(F.min("g").alias("top"), F.count(F.lit(1)).alias("groups"))
-    tops = tops.where("groups > 1").select("token", "top", (F.col("groups") >= LONG_LIST).alias("long"))
-    tops = stored(tops, "shared-tokens")
-    pairs = listed.join(tops, "token").where("g <> top").select("g", "top").distinct()
-    m, led, paired = members.alias("m"), leaders.alias("l"), pairs.alias("p")
+    tops = stored(tops.where("groups > 1"), "list-tops")
+    shared = listed.join(tops, "token").select("token", "g", "n", "i", "top", (F.col("groups") >= LONG_LIST).alias("long"))
+    shared = stored(shared, "shared-tokens")
     side = lambda name: lambda c: F.col(f"{name}.{c}")
+    # Pairs that sizes or places rule out here are left to the comparison of open lists.
+    x, y = shared.where("g <> top").alias("x"), shared.where("g = top").select("token", "n", "i").alias("y")
+    meets = _fits(side("x"), side("y"), percent, differing=False)
+    pairs = x.join(y, (F.col("x.token") == F.col("y.token")) & meets).select("x.g", "x.top").distinct()
+    m, led, paired = members.alias("m"), leaders.alias("l"), pairs.alias("p")
     near = _fits(side("m"), side("l"), percent, placed=False)
     chosen = [F.col("m.digest").alias("u"), F.col("l.digest").alias("v")]
     first = m.join(paired, F.col("m.g") == F.col("p.g")).join(led, F.col("p.top") == F.col("l.g")).where(near)
@@ -270,13 +276,13 @@ def _links(docs: DataFrame, text: str, key: str, signed: DataFrame, width: int,
     known = members.join(labels.withColumnRenamed("node", "digest"), "digest", "left").withColumn(
         "label", F.coalesce("label", "digest")
     )
-    placed = groups.select("g", F.posexplode("prefix").alias("i", "token"))
-    placed = _with_earlier(placed.join(tops.select("token", "long"), "token"))
+    listed = stored(shared.drop("top").join(known.select("g", "label").distinct(), "g"), "labelled-lists")
+    largest = listed.groupBy("token", "label").agg(F.count(F.lit(1)).alias("sets")).groupBy("token")
+    largest = largest.agg(F.max_by("label", F.struct("sets", "label")).alias("main"), F.count(F.lit(1)).alias("labels"))
+    open_tokens = stored(largest.where("labels > 1").select("token", "main"), "open-tokens")
+    placed = _with_earlier(_with_partner(listed.join(open_tokens, "token"), percent))
     bits = F.when(F.col("long"), F.col("bits")).otherwise(_folded("bits"))
     labelled = stored(placed.join(known, "g").withColumn("bits", bits).drop("long"), "labelled")
-    by_label = labelled.groupBy("token", "label").agg(F.count(F.lit(1)).alias("sets"))
-    largest = by_label.groupBy("token").agg(F.max_by("label", F.struct("sets", "label")).alias("main"), F.count(F.lit(1)).alias("labels"))
-    open_tokens = largest.where("labels > 1").select("token", "main")
     open_lists = labelled.join(open_tokens, "token")
     # The sets of a list's largest component need no comparison with each other: one side holds only the rest.
     a, b = open_lists.where("label <> main").alias("a"), open_lists.alias("b")
@@ -307,13 +313,29 @@ def _links(docs: DataFrame, text: str, key: str, signed: DataFrame, width: int,
     return links.union(more)
 
 
+def _with_partner(lists: DataFrame, percent: int) -> DataFrame:
+    """(g, i, token, long) of the groups that sizes and places let meet one of another component in an open list.
+
+    Only semi-joins of narrow rows, so nothing grows with the pairs of a list; rows may come out twice.
+    Similar sets pass at the first token they share, so nothing is lost.  Sets that meet in a closed list
+    are in one component already.
+    """
+    x, y = lists.alias("x"), lists.alias("y")
+    side = lambda name: lambda c: F.col(f"{name}.{c}")
+    meets = (F.col("x.token") == F.col("y.token")) & (F.col("x.label") != F.col("y.label"))
+    meets &= _fits(side("x"), side("y"), percent, differing=False)
+    apart = F.col("label") != F.col("main")
+    met = x.join(y.where(apart), meets, "left_semi").union(x.where(apart).join(y.where(~apart), meets, "left_semi"))
+    return met.select("g", "i", "token", "long")
+
+
 def _with_earlier(placed: DataFrame) -> DataFrame:
     """Add ``before`` to (g, i, token, long) rows: the group's first tokens in long lists that precede this one.
 
     Sets order their tokens alike, so two sets with a common token in ``before`` have met there, and
     with no worse places.  A token that is not carried along costs a repeated pair and loses none.
     """
-    every = placed.groupBy("g").agg(F.sort_array(F.collect_list(F.struct("i", "token", "long"))).alias("all"))
+    every = placed.groupBy("g").agg(F.sort_array(F.collect_set(F.struct("i", "token", "long"))).alias("all"))
     early = F.slice(F.filter("all", lambda t: t["long"]), 1, EARLY_TOKENS)
     rows = every.select("g", early.alias("early"), F.explode("all").alias("t"))
     before = F.transform(F.filter("early", lambda t: F.col("t.long") & (t["i"] < F.col("t.i"))), lambda t: t["token"])
