@@ -39,6 +39,8 @@ EARLY_TOKENS = 8
 #: Groups of a list from which its rows carry all parity words and earlier tokens; shorter ones have few pairs.
 LONG_LIST = 16
 SHORT_PARITIES = 4
+#: 64-bit words of the bit table of wanted texts: 2 MB, the same for every corpus.
+FILTER_WORDS = 1 << 18
 _CHUNK = 1 << 12
 _MERGES = 64
 
@@ -162,8 +164,12 @@ def _sets(docs: DataFrame, text: str, key: str, rows: DataFrame, digests: DataFr
 
     ``rows`` has one text mark for each digest.
     """
-    marks = rows.join(digests, "digest", "left_semi").select("mark").distinct()
-    texts = _marked(docs, text, key).join(marks, "mark", "left_semi").select("text")
+    marks = stored(rows.join(digests, "digest", "left_semi").select("mark").distinct(), "wanted-marks")
+    # A bit table of fixed size keeps most unwanted texts from the exact join, which may move them.
+    word, bit = f"shiftrightunsigned(mark, 6) & {FILTER_WORDS - 1}", "shiftleft(1L, CAST(mark & 63 AS INT))"
+    wanted = marks.selectExpr(f"{word} AS word", f"{bit} AS bit").groupBy("word").agg(F.bit_or("bit").alias("set"))
+    likely = _marked(docs, text, key).join(F.broadcast(wanted), F.expr(f"({word}) = word AND (set & {bit}) <> 0"), "left_semi")
+    texts = likely.join(marks, "mark", "left_semi").select("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
