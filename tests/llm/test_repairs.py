@@ -139,3 +139,24 @@ def test_hot_anchors_are_dealt_by_window(spark, monkeypatch, limit):
     if limit < 2048:
         for found in sizes:
             assert max(found) <= 2 * sum(found) / len(found)
+
+
+def test_hot_anchors_keep_windows_of_one_document(spark, monkeypatch):
+    """Windows of an anchor that is cut into windows differ by their own bytes."""
+    from jobsift.llm import _anchors, suffixes
+
+    monkeypatch.setattr(_anchors, "HOT_REGIONS", 8)
+    passage = "a line of forty bytes in every document "
+    raws = {i: f"{i * 7919:030d}{passage}{i * 104729:030d}" for i in range(40)}
+    raws[40] = raws[3]
+    first = {}
+    for i, raw in raws.items():
+        for at in range(len(raw) - 49):
+            first.setdefault(raw[at : at + 50], i)
+    expected = {
+        i: len({b for at in range(len(raw) - 49) if first[raw[at : at + 50]] < i for b in range(at, at + 50)})
+        for i, raw in raws.items()
+    }
+    docs = spark.createDataFrame(list(raws.items()), "doc_id long, text string").coalesce(1)
+    got = {r.doc_id: r.n_removed for r in suffixes.remove_substrings(docs, batches=1).collect()}
+    assert got == expected
