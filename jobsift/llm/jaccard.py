@@ -258,8 +258,9 @@ def _links(docs: DataFrame, text: str, key: str, signed: DataFrame, width: int,
     several = members.groupBy("g").agg(F.count(F.lit(1)).alias("sets")).where("sets > 1").select("g")
     groups = stored(filled.groupBy("g").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix")), "groups")
     listed = groups.select("g", "n", F.posexplode("prefix").alias("i", "token"))
-    tops = listed.groupBy("token").agg(F.min("g").alias("top"), F.count(F.lit(1)).alias("groups"))
-    tops = stored(tops.where("groups > 1"), "list-tops")
+    # The fewer rarer shingles precede the token, the more sets of its list can be similar to the leader.
+    tops = listed.groupBy("token").agg(F.min(F.struct("i", "g")).alias("top"), F.count(F.lit(1)).alias("groups"))
+    tops = stored(tops.where("groups > 1").select("token", "top.g", "groups").withColumnRenamed("g", "top"), "list-tops")
     shared = listed.join(tops, "token").select("token", "g", "n", "i", "top", (F.col("groups") >= LONG_LIST).alias("long"))
     shared = stored(shared, "shared-tokens")
     side = lambda name: lambda c: F.col(f"{name}.{c}")
